@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cg import ridge_paths
@@ -36,7 +36,7 @@ class FoldSums:
     sums: np.ndarray  # folds x (P + 2) x (P + 2)
 
 
-def fold_of(key: str, folds: int, seed: int):
+def fold_of(key: str, folds: int, seed: int) -> Column:
     """The fold of a group: a stable hash, the same in every run."""
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int")
 
@@ -49,15 +49,17 @@ def ridge_cv(
     seed: int = 0,
     lambda_scale: str = "none",
     max_dense: int = MAX_DENSE,
+    fold: Column | None = None,
 ) -> DataFrame:
     """Held-out weighted mean squared error per penalty: columns ``lambda``, ``cv_error``, ``is_min``.
 
     ``members`` holds distinct (group, member) pairs in its first two columns; ``targets`` holds (group, y, w).
+    Groups fall into folds by a stable hash, or by ``fold``, an expression of the group's ``id`` from 0 to folds - 1.
     Of several penalties with the least error the largest counts as the minimum.
     """
     lambdas = sorted(LAMBDAS if lambdas is None else lambdas, reverse=True)
     members, targets = _standard(members, targets)
-    targets = targets.withColumn("fold", fold_of("id", folds, seed))
+    targets = targets.withColumn("fold", fold_of("id", folds, seed) if fold is None else fold.cast("int"))
     roles = _roles(members, max_dense)
     if roles is None:
         errors = ridge_paths(members, targets, lambdas, folds, lambda_scale).errors()

@@ -147,8 +147,8 @@ def subrole_rules(compat: bool = False) -> list[Rule]:
         ),
         Rule(("Mercy",), "main_support"),
         Rule(_BIG_THREE, "main_tank"),
-        Rule(("Sigma",), "off_tank", ((Clause(_BIG_THREE),),)),
-        Rule(("Sigma",), "main_tank"),
+        Rule(("Sigma",), "main_tank", ((Clause(none_of=_BIG_THREE),),)),
+        Rule(("Sigma",), "off_tank"),
         Rule(("Wrecking Ball",), "off_tank", ((Clause(_BIG_THREE + ("Sigma",)),),)),
         Rule(("Wrecking Ball",), "main_tank"),
         Rule(("Zarya",), "off_tank", ((Clause(_BIG_THREE + ("Sigma", "Wrecking Ball")),),)),

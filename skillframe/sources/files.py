@@ -26,9 +26,10 @@ class Dialect:
 def read_text_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """CSV with a header, every cell as text; blank cells and the mark ``NA`` are missing.
 
-    Columns are found by name, so their order in the file does not matter. Adds ``file_name``.
+    Columns are named by the header of the first file; a file with another header raises an error instead of shifting
+    its cells. Adds ``file_name``.
     """
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(paths)
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(paths)
     cleaned = [clean_text(F.col(f"`{c}`")).alias(c.strip()) for c in raw.columns]
     return raw.select(*cleaned, F.col("_metadata.file_name").alias("file_name"))
 
