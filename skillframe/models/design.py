@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqltext
+
 #: Spark's iteratively reweighted least squares solves at most this many coefficients.
 MAX_COLUMNS = 4096
 
@@ -37,12 +39,14 @@ class DesignColumn:
     group: str | None = None
     group_level: str | None = None
 
-    def expr(self) -> Column:
-        value = F.col(self.number).cast("double")
-        for text, wanted in ((self.factor, self.level), (self.group, self.group_level)):
-            if text is not None:
-                value = F.when(F.col(text) == F.lit(wanted), value).otherwise(F.lit(0.0))
-        return value
+    def sql(self) -> str:
+        value = f"double({sqltext.name(self.number)})"
+        tests = [
+            f"{sqltext.name(text)} = {sqltext.literal(wanted)}"
+            for text, wanted in ((self.factor, self.level), (self.group, self.group_level))
+            if text is not None
+        ]
+        return f"CASE WHEN {' AND '.join(tests)} THEN {value} ELSE 0D END" if tests else value
 
 
 def split_term(df: DataFrame, term: Term) -> tuple[str, str | None]:
@@ -91,10 +95,10 @@ def design_columns(
     return out
 
 
-def gramian(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
-    """Sum of the outer products of the rows: each task reduces its rows, Spark adds the partial sums."""
+def gramian(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Sum of the outer products of the rows of SQL expressions: tasks reduce their rows, Spark adds the partial sums."""
     size = len(columns)
-    wide = df.select(F.array(*[c.cast("double") for c in columns]).alias("x"))
+    wide = df.selectExpr(f"array({', '.join(columns)}) AS x")
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((size, size))

@@ -11,7 +11,8 @@ from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinear
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .design import DesignColumn, Term, complete_cases, design_columns, gramian, independent, split_term
+from ..functions import sqltext
+from .design import Term, complete_cases, design_columns, gramian, independent, split_term
 
 COEF_SCHEMA = "term string, estimate double, std_error double, statistic double, p_value double"
 
@@ -59,9 +60,9 @@ def fit_logit(
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         columns = design_columns(cells, terms, group)
-        kept = independent(gramian(cells, [c.expr() for c in columns]))
+        kept = independent(gramian(cells, [c.sql() for c in columns]))
         names = [f"x{j}" for j in kept]
-        design = cells.select("__y", "__n", *[columns[j].expr().alias(n) for j, n in zip(kept, names)])
+        design = cells.selectExpr("__y", "__n", *[f"{columns[j].sql()} AS {n}" for j, n in zip(kept, names)])
         assembled = VectorAssembler(inputCols=names, outputCol="features").transform(design)
         learner = GeneralizedLinearRegression(
             family="binomial", link="logit", fitIntercept=False, regParam=0.0, maxIter=max_iter, tol=tol,
@@ -112,27 +113,29 @@ def link_expr(df: DataFrame, fit: LogitFit, terms: Sequence[Term], overrides: Ma
     """
     overrides = overrides or {}
     estimates = {row[0]: (0.0 if row[1] is None else row[1]) for row in fit.rows}
-    total = F.lit(0.0)
+    parts = []
     for term in terms:
         number, factor = split_term(df, term)
-        value = F.lit(float(overrides[number])) if number in overrides else F.col(number).cast("double")
+        value = sqltext.literal(float(overrides[number])) if number in overrides else f"double({sqltext.name(number)})"
         if factor is None:
-            total = total + F.lit(estimates[term.first]) * value
-            continue
-        total = total + _level_estimates(estimates, term, factor) * value
-    return total
+            estimate = sqltext.literal(estimates[term.first])
+        else:
+            found = sqltext.mapping(_level_estimates(estimates, term, factor))
+            estimate = f"try_element_at({found}, {sqltext.name(factor)})"
+        parts.append(f"{estimate} * {value}")
+    return F.expr(" + ".join(parts))
 
 
-def _level_estimates(estimates: Mapping[str, float], term: Term, factor: str) -> Column:
+def _level_estimates(estimates: Mapping[str, float], term: Term, factor: str) -> list[tuple[str, float]]:
     before, after = (":".join(p) for p in _around(term, factor))
     before = before + ":" if before else ""
     after = ":" + after if after else ""
     head = before + factor
-    pairs = []
-    for name, estimate in estimates.items():
-        if name.startswith(head) and name.endswith(after):
-            pairs += [F.lit(name[len(head) : len(name) - len(after)]), F.lit(estimate)]
-    return F.try_element_at(F.create_map(*pairs), F.col(factor))
+    return [
+        (name[len(head) : len(name) - len(after)], estimate)
+        for name, estimate in estimates.items()
+        if name.startswith(head) and name.endswith(after)
+    ]
 
 
 def _around(term: Term, factor: str) -> tuple[list[str], list[str]]:

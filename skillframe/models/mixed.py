@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqltext
 from ..session import materialize
 from .design import Term, levels, split_term
 
@@ -55,7 +56,7 @@ def fit_crossed_logit(
     tol: float = 1e-4,
     max_rounds: int = 200,
 ) -> CrossedFit:
-    """Fit until no coefficient, effect or log-variance moves by ``tol`` or more in a round.
+    """Fit until no coefficient, effect or effect deviation moves by ``tol`` or more in a round.
 
     ``variances`` fixes the effect variances instead of estimating them. Raises when ``max_rounds`` do not suffice.
     """
@@ -78,8 +79,7 @@ def fit_crossed_logit(
     for round_no in range(1, max_rounds + 1):
         moved = 0.0
         slopes = _scored(cells, beta, effects, sizes).groupBy("__level").agg(
-            F.sum(F.col("__x") * F.col("__score")).alias("s"),
-            F.sum(F.col("__x") * F.col("__x") * F.col("__weight")).alias("h"),
+            F.expr("sum(__x * __score) AS s"), F.expr("sum(__x * __x * __weight) AS h")
         )
         for row in slopes.collect():  # one row per factor level
             step = row["s"] / row["h"] if row["h"] else 0.0
@@ -87,21 +87,21 @@ def fit_crossed_logit(
             moved = max(moved, abs(step))
 
         for i in range(2):
-            old = F.first(f"__eff{i}")
-            scale = F.sum("__weight") + F.lit(1.0 / sigma[i])
-            new = (F.sum("__score") + F.sum("__weight") * old) / scale
-            updated = materialize(
-                _scored(cells, beta, effects, sizes)
-                .groupBy(F.col(f"__g{i}").alias("grp"))
-                .agg(new.alias("eff"), (F.lit(1.0) / scale).alias("var"), F.abs(new - old).alias("step"))
+            old, scale = f"first(__eff{i})", f"(sum(__weight) + {sqltext.literal(1.0 / sigma[i])})"
+            new = f"(sum(__score) + sum(__weight) * {old}) / {scale}"
+            updated = _scored(cells, beta, effects, sizes).groupBy(f"__g{i}").agg(
+                F.expr(f"{new} AS eff"), F.expr(f"1 / {scale} AS var"), F.expr(f"abs({new} - {old}) AS step")
             )
-            effects[i] = updated
-            step, squares, spread = updated.agg(F.max("step"), F.sum(F.col("eff") * F.col("eff")), F.sum("var")).first()
+            effects[i] = materialize(updated.withColumnRenamed(f"__g{i}", "grp"))
+        summary = [
+            e.selectExpr(f"{i} AS i", "max(step)", "sum(eff * eff)", "sum(var)") for i, e in enumerate(effects)
+        ]
+        for i, step, squares, spread in summary[0].union(summary[1]).collect():
             moved = max(moved, step)
             if variances is None:
                 free = max(sizes[i] - spread / sigma[i], 1e-12)
                 estimate = max(squares / free, VARIANCE_FLOOR)
-                moved = max(moved, abs(estimate - sigma[i]) / max(sigma[i], 1e-3))
+                moved = max(moved, abs(estimate**0.5 - sigma[i] ** 0.5))
                 sigma[i] = estimate
         if moved < tol:
             parts = [
@@ -124,14 +124,10 @@ def _scored(
     """
     out = cells
     for i in range(2):
-        side = effects[i].select(F.col("grp").alias(f"__g{i}"), F.col("eff").alias(f"__eff{i}"))
+        side = effects[i].selectExpr(f"grp AS __g{i}", f"eff AS __eff{i}")
         out = out.join(F.broadcast(side) if sizes[i] <= MAX_BROADCAST_GROUPS else side, f"__g{i}")
-    slopes = F.create_map(*[F.lit(x) for item in beta.items() for x in item])
-    linear = F.try_element_at(slopes, F.col("__level")) * F.col("__x") + F.col("__eff0") + F.col("__eff1")
-    chance = (F.lit(1.0) / (F.lit(1.0) + F.exp(-linear))).alias("__p")
+    linear = f"try_element_at({sqltext.mapping(beta.items())}, __level) * __x + __eff0 + __eff1"
     kept = ["__g0", "__g1", "__level", "__x", "__eff0", "__eff1"]
-    return out.select(*kept, "__n", "__wins", chance).select(
-        *kept,
-        (F.col("__wins") - F.col("__n") * F.col("__p")).alias("__score"),
-        (F.col("__n") * F.greatest(F.col("__p") * (1 - F.col("__p")), F.lit(WEIGHT_FLOOR))).alias("__weight"),
+    return out.selectExpr(*kept, "__n", "__wins", f"1 / (1 + exp(-({linear}))) AS __p").selectExpr(
+        *kept, "__wins - __n * __p AS __score", f"__n * greatest(__p * (1 - __p), {WEIGHT_FLOOR!r}D) AS __weight"
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sqltext
 from .joins import equi_join
 
 #: Lookup tables up to this many rows travel to every executor.
@@ -37,8 +37,7 @@ def relabel(df: DataFrame, col: str, lookup: DataFrame | Mapping[str, str], defa
 
 
 def relabel_expr(c: Column, mapping: Mapping[str, str], default: str | None = "keep") -> Column:
-    pairs = [F.lit(x) for item in mapping.items() for x in item]
-    new = F.try_element_at(F.create_map(*pairs), c)
+    new = F.try_element_at(F.expr(sqltext.mapping(mapping.items())), c)
     return F.coalesce(new, c) if default == "keep" else new
 
 
@@ -59,12 +58,12 @@ class Clause:
     any_of: tuple[str, ...] = ()
     none_of: tuple[str, ...] = ()
 
-    def holds(self, members: Column) -> Column:
+    def sql(self, members: str) -> str:
         tests = []
         if self.any_of:
-            tests.append(reduce(lambda a, b: a | b, [F.contains(members, F.lit(n)) for n in self.any_of]))
-        tests += [~F.contains(members, F.lit(n)) for n in self.none_of]
-        return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
+            tests.append("(" + " OR ".join(f"contains({members}, {sqltext.literal(n)})" for n in self.any_of) + ")")
+        tests += [f"NOT contains({members}, {sqltext.literal(n)})" for n in self.none_of]
+        return "(" + (" AND ".join(tests) or "true") + ")"
 
 
 @dataclass(frozen=True)
@@ -75,17 +74,14 @@ class Rule:
     label: str
     all_of: tuple[tuple[Clause, ...], ...] = field(default=())
 
-    def applies(self, subject: Column, members: Column) -> Column:
-        test = subject.isin(*self.subjects)
-        for alternatives in self.all_of:
-            test = test & reduce(lambda a, b: a | b, [c.holds(members) for c in alternatives])
-        return test
+    def sql(self, subject: str, members: str) -> str:
+        tests = [f"{subject} IN ({sqltext.listing(self.subjects)})"]
+        tests += ["(" + " OR ".join(c.sql(members) for c in alternatives) + ")" for alternatives in self.all_of]
+        return " AND ".join(tests)
 
 
 def classify(df: DataFrame, rules: Sequence[Rule], subject: str, members_col: str, out: str) -> DataFrame:
     """Label of the first rule that applies; NULL if none does. Members are looked up in the group's list text."""
-    chain = None
-    for rule in rules:
-        test = rule.applies(F.col(subject), F.col(members_col))
-        chain = F.when(test, rule.label) if chain is None else chain.when(test, rule.label)
-    return df.withColumn(out, chain)
+    subject, members = sqltext.name(subject), sqltext.name(members_col)
+    branches = [f"WHEN {r.sql(subject, members)} THEN {sqltext.literal(r.label)}" for r in rules]
+    return df.withColumn(out, F.expr(f"CASE {' '.join(branches)} END"))

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqltext
 from ..functions.nulls import as_col, fill_missing, na_sum
 
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
@@ -46,19 +47,19 @@ def pivot_wide(
     single = len(values_from) == 1
     cells = []
     for value in values_from:
-        for name, label in labels.items():
-            here = F.col(names_from).eqNullSafe(F.lit(name)) if name is not None else F.col(names_from).isNull()
-            cells.append(_cell(agg, here, F.col(value)).alias(label if single else f"{value}_{label}"))
+        for key, label in labels.items():
+            here = f"{sqltext.name(names_from)} <=> {sqltext.literal(key)}"
+            out = label if single else f"{value}_{label}"
+            cells.append(_cell(agg, here, value).alias(out))
     wide = df.groupBy(*ids).agg(*cells)
     return wide if fill_num is None else fill_missing(wide, fill_num, fill_str)
 
 
-def _cell(agg: Callable[[Column], Column], here: Column, value: Column) -> Column:
+def _cell(agg: Callable[[Column], Column], here: str, value: str) -> Column:
+    inside = f"CASE WHEN {here} THEN {sqltext.name(value)} END"
     if agg is na_sum:
-        inside = F.when(here, value)
-        complete = F.count(inside) == F.count(F.when(here, F.lit(1)))
-        return F.when(complete, F.sum(inside))
-    return agg(F.when(here, value))
+        return F.expr(f"CASE WHEN count({inside}) = count_if({here}) THEN sum({inside}) END")
+    return agg(F.expr(inside))
 
 
 def ordered_concat(
