@@ -11,6 +11,7 @@ with a Laplace fit, not digits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ from .design import Term, levels, split_term
 
 VARIANCE_FLOOR = 1e-8
 WEIGHT_FLOOR = 1e-6
+JUMP = math.log(100.0)
 #: Effect tables up to this many rows (some MB) are broadcast.
 MAX_BROADCAST_GROUPS = 200_000
 
@@ -70,6 +72,7 @@ def fit_crossed_logit(
     )
     beta = {name: 0.0 for name in levels(cells, "__level")}
     sigma = [float(variances[g]) if variances else 1.0 for g in groups]
+    trail = [[math.log(s)] for s in sigma]
     effects, sizes = [], []
     for i in range(2):
         start = cells.select(F.col(f"__g{i}").alias("grp")).distinct()
@@ -102,7 +105,8 @@ def fit_crossed_logit(
                 free = max(sizes[i] - spread / sigma[i], 1e-12)
                 estimate = max(squares / free, VARIANCE_FLOOR)
                 moved = max(moved, abs(estimate**0.5 - sigma[i] ** 0.5))
-                sigma[i] = estimate
+                trail[i].append(math.log(estimate))
+                sigma[i] = math.exp(_ahead(trail[i]))
         if moved < tol:
             parts = [
                 effects[i].select(
@@ -114,6 +118,24 @@ def fit_crossed_logit(
     raise RuntimeError(f"no convergence within {max_rounds} rounds; the last round moved by {moved:.3g}")
 
 
+def _ahead(trail: list[float]) -> float:
+    """The last log-variance, or after two plain steps the point they head for.
+
+    Plain steps shrink geometrically, towards a point inside or, when the data hold no group effect, without end; the
+    jump is limited to a factor of 100 either way and the fixed point stays the same.
+    """
+    if len(trail) < 3:
+        return trail[-1]
+    before, last = trail[-2] - trail[-3], trail[-1] - trail[-2]
+    del trail[:-1]
+    if before == 0 or last / before <= 0:
+        return trail[-1]
+    ratio = min(last / before, 0.99)
+    jump = max(-JUMP, min(JUMP, last * ratio / (1 - ratio)))
+    trail[0] = max(trail[0] + jump, math.log(VARIANCE_FLOOR))
+    return trail[0]
+
+
 def _scored(
     cells: DataFrame, beta: Mapping[str, float], effects: Sequence[DataFrame], sizes: Sequence[int]
 ) -> DataFrame:
