@@ -42,21 +42,30 @@ def load_fit(spark: SparkSession, path: str) -> LogitFit:
 
 
 def fit_logit(
-    df: DataFrame, label: str, terms: Sequence[Term], group: str | None = None, max_iter: int = 25, tol: float = 1e-8
+    df: DataFrame,
+    label: str,
+    terms: Sequence[Term],
+    group: str | None = None,
+    collapse: bool = False,
+    max_iter: int = 25,
+    tol: float = 1e-8,
 ) -> LogitFit:
     """Maximum likelihood fit of a 0/1 label on the terms, without intercept.
 
     Rows with a missing model value are left out. Columns that depend on earlier ones are left out of the fit and
     reported with NULL estimates. With ``group`` every group gets its own coefficients: the groups share no column, so
     one fit of the block-diagonal design gives the same numbers as one fit per group.
-    Rows that agree in all model columns are collapsed to one weighted row first.
+    ``collapse`` first turns rows that agree in all model columns into one weighted row: the same likelihood, worth a
+    shuffle when the model columns take few values.
     """
     extra = [group] if group else []
     cases = complete_cases(df, label, terms, *extra)
+    y = f"double({sqltext.name(label)})"
     patterns = [c for c in cases.columns if c != label]
-    cells = cases.groupBy(*patterns).agg(
-        F.avg(F.col(label).cast("double")).alias("__y"), F.count(F.lit(1)).cast("double").alias("__n")
-    )
+    if collapse:
+        cells = cases.groupBy(*patterns).agg(F.expr(f"avg({y}) AS __y"), F.expr("double(count(1)) AS __n"))
+    else:
+        cells = cases.select(*patterns, F.expr(f"{y} AS __y"), F.lit(1.0).alias("__n"))
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         columns = design_columns(cells, terms, group)
@@ -92,9 +101,11 @@ def fit_logit(
     return LogitFit(model, rows, group)
 
 
-def fit_logit_by(df: DataFrame, label: str, terms: Sequence[Term], group: str) -> DataFrame:
+def fit_logit_by(
+    df: DataFrame, label: str, terms: Sequence[Term], group: str, collapse: bool = False
+) -> DataFrame:
     """One coefficient table per group, stacked."""
-    return fit_logit(df, label, terms, group).coef_df(df.sparkSession)
+    return fit_logit(df, label, terms, group, collapse).coef_df(df.sparkSession)
 
 
 def coef_band(coefs: DataFrame, term: str) -> DataFrame:

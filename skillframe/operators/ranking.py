@@ -48,7 +48,8 @@ def dense_rank_id(
     offsets = steps.select(*keys, "__step", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     position = F.row_number().over(W.partitionBy(*keys, "__step").orderBy(order))
     placed = equi_join(pairs.withColumn("__position", position), offsets, [*keys, "__step"])
-    ranks = placed.select(*keys, order, (F.col("__offset") + F.col("__position")).alias("__rank"))
+    # As a written table of known size, the ranks are broadcast when few and joined by shuffle when many.
+    ranks = materialize(placed.select(*keys, order, (F.col("__offset") + F.col("__position")).alias("__rank")))
     ranked = equi_join(df, ranks, [*keys, order], "left")
     return ranked.withColumn(out, paste(F.col(label), F.col("__rank"), sep="_")).drop("__rank")
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import configure
+from ..session import configure, materialize
 from ..sources.files import read_table, write_table
 from . import ingest, lineups, results, roles, scores
 
 
-def run(spark: SparkSession, source: str, patches: str, target: str, bounds: str = "whole_day") -> None:
+def run(
+    spark: SparkSession, source: str, patches: str, target: str, bounds: str = "whole_day", tol: float = 1e-4
+) -> None:
     """Read the CSV files in ``source`` and the patch calendar, write every table and the model to ``target``.
 
     Each stage starts from the written table of the one before, so a lost executor costs one stage at most.
@@ -20,7 +22,9 @@ def run(spark: SparkSession, source: str, patches: str, target: str, bounds: str
         ingest.clean_rounds(ingest.read_rounds(spark, source)), read_table(spark, target, "patch_map"), bounds
     )
     write_table(rounds, target, "match_map_stats")
-    write_table(ingest.clean_players(ingest.read_players(spark, source)), target, "player_stats")
+    # Ranking reads the log twice; the typed copy spares the second pass over the text files.
+    players = materialize(ingest.read_players(spark, source))
+    write_table(ingest.clean_players(players), target, "player_stats")
 
     by_map = results.results_by_map(read_table(spark, target, "match_map_stats"))
     write_table(by_map, target, "results_by_map")
@@ -28,7 +32,7 @@ def run(spark: SparkSession, source: str, patches: str, target: str, bounds: str
     write_table(results.results_by_match(by_map), target, "results_by_match")
 
     player_stats = read_table(spark, target, "player_stats")
-    time = roles.time_on_hero(player_stats)
+    time = materialize(roles.time_on_hero(player_stats))
     write_table(roles.player_roles(time), target, "player_stats_roles")
     write_table(roles.player_subroles(time), target, "player_stats_subroles")
     subroles = read_table(spark, target, "player_stats_subroles")
@@ -37,6 +41,6 @@ def run(spark: SparkSession, source: str, patches: str, target: str, bounds: str
     fit.save(spark, f"{target}/models/stat_model")
     write_table(scores.stat_scores(by_map, player_stats, subroles, fit), target, "stat_scores")
 
-    player_table, lineup_table = lineups.rate_seasons(by_map, subroles)
+    player_table, lineup_table = lineups.rate_seasons(by_map, subroles, tol)
     write_table(player_table, target, "on_off_player_scores")
     write_table(lineup_table, target, "on_off_lineup_scores")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..models.design import Term
 from ..models.glm import LogitFit, fit_logit, fit_logit_by, score_link, score_map_advantage
 from ..operators.ranking import zscore
+from ..session import materialize
 from .fixed import NEUTRAL_MAP_TYPE, PLAYER_STATS, SUBROLES
 from .frames import model_frame, player_stats_wide, slug, team_stats
 
@@ -37,7 +38,7 @@ def stat_scores(results: DataFrame, player_stats: DataFrame, subroles: DataFrame
     scored = score_link(frame, fit, WIN_TERMS, "score", {FLAG: 0.0})
     neutral = F.col("map_type") == NEUTRAL_MAP_TYPE
     scored = score_map_advantage(scored, fit, WIN_TERMS, MODEL_STATS, neutral, "map_adv_score")
-    return zscore(scored, ["subrole"], "score", "scaled_score").select(
-        "year", "stage", "map_id", "patch", "map_type", "player_team", "subrole", "player", "score",
-        "scaled_score", "map_adv_score",
-    )
+    kept = ["year", "stage", "map_id", "patch", "map_type", "player_team", "subrole", "player", "score"]
+    # The group statistics and the final rows both start here: compute the joins once.
+    scored = materialize(scored.select(*kept, "map_adv_score"))
+    return zscore(scored, ["subrole"], "score", "scaled_score").select(*kept, "scaled_score", "map_adv_score")

@@ -31,12 +31,12 @@ def labelled(spark, sf):
 
 
 def glm_saturated(spark, sf):
-    coefs = fit_logit(labelled(spark, sf), "quality", [Term("one", "lang")]).coef_df(spark)
+    coefs = fit_logit(labelled(spark, sf), "quality", [Term("one", "lang")], collapse=True).coef_df(spark)
     return coefs.select("term", F.round("estimate", 4).alias("estimate"), F.round("std_error", 4).alias("std_error"))
 
 
 def glm_by_group(spark, sf):
-    coefs = fit_logit_by(labelled(spark, sf), "quality", [Term("one", "size")], "tone")
+    coefs = fit_logit_by(labelled(spark, sf), "quality", [Term("one", "size")], "tone", collapse=True)
     return coefs.select(
         "tone", "term", F.round("estimate", 4).alias("estimate"), F.round("std_error", 4).alias("std_error"),
         F.round("statistic", 4).alias("statistic"),
@@ -44,7 +44,7 @@ def glm_by_group(spark, sf):
 
 
 def coef_band(spark, sf):
-    coefs = fit_logit_by(labelled(spark, sf), "quality", [Term("one")], "lang")
+    coefs = fit_logit_by(labelled(spark, sf), "quality", [Term("one")], "lang", collapse=True)
     return band(coefs, "one").select("lang", *[F.round(c, 4).alias(c) for c in ("estimate", "lower", "upper")])
 
 
@@ -53,14 +53,14 @@ SCORE_TERMS = [Term("one", "size"), Term("toxic", "size")]
 
 def score_link(spark, sf):
     frame = labelled(spark, sf)
-    fit = fit_logit(frame, "quality", SCORE_TERMS)
+    fit = fit_logit(frame, "quality", SCORE_TERMS, collapse=True)
     scored = link(link(frame, fit, SCORE_TERMS, "score"), fit, SCORE_TERMS, "score_clean", {"toxic": 0.0})
     return scored.select("doc_id", F.round("score", 4).alias("score"), F.round("score_clean", 4).alias("score_clean"))
 
 
 def score_map_adv(spark, sf):
     frame = labelled(spark, sf)
-    fit = fit_logit(frame, "quality", SCORE_TERMS)
+    fit = fit_logit(frame, "quality", SCORE_TERMS, collapse=True)
     scored = score_map_advantage(frame, fit, SCORE_TERMS, ["toxic"], F.col("size") == "short", "advantage")
     return scored.select("doc_id", "size", F.round("advantage", 4).alias("advantage"))
 

@@ -85,7 +85,7 @@ def season(spark, tmp_path_factory):
 
     folder = tmp_path_factory.mktemp("season")
     logs.write(folder)
-    run.run(spark, str(folder / "csvs"), str(folder / "patch_map.csv"), str(folder / "out"))
+    run.run(spark, str(folder / "csvs"), str(folder / "patch_map.csv"), str(folder / "out"), tol=1e-3)
     return folder
 
 
@@ -116,7 +116,9 @@ def test_rounds_have_patches(spark, out):
 
 def test_results_tables(out):
     maps, matches = out("results_by_map"), out("results_by_match")
-    assert maps.count() == out("match_map_stats").select("map_id").distinct().count() == 69 * 4
+    # The corrected time of one round puts it, and so its map, under a second patch as well.
+    assert maps.count() == out("match_map_stats").select("map_id", "patch").distinct().count()
+    assert maps.select("map_id").distinct().count() == 69 * 4
     split = maps.groupBy("match_id").agg(F.countDistinct("patch").alias("n")).where("n > 1").count()
     assert matches.count() == 69 + split
     total = F.col("team_one_match_score") + F.col("team_two_match_score") + F.col("ties")
