@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
@@ -69,27 +71,22 @@ def fit_logit(
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         columns = design_columns(cells, terms, group)
-        kept = independent(gramian(cells, [c.sql() for c in columns]))
-        names = [f"x{j}" for j in kept]
-        design = cells.selectExpr("__y", "__n", *[f"{columns[j].sql()} AS {n}" for j, n in zip(kept, names)])
+        gram = gramian(cells, [c.sql() for c in columns] + ["1D"])
+        kept = independent(gram[:-1, :-1])
+        # Spark's solver gives a constant column no weight; it has to be fitted as the intercept.
+        constant = [j for j in kept if _is_constant(gram, j)]
+        varying = [j for j in kept if j not in constant]
+        names = [f"x{j}" for j in varying]
+        design = cells.selectExpr("__y", "__n", *[f"{columns[j].sql()} AS {n}" for j, n in zip(varying, names)])
+        if not names:  # nothing varies: an all-zero column leaves the intercept alone
+            names, design = ["x"], design.withColumn("x", F.lit(0.0))
         assembled = VectorAssembler(inputCols=names, outputCol="features").transform(design)
         learner = GeneralizedLinearRegression(
-            family="binomial", link="logit", fitIntercept=False, regParam=0.0, maxIter=max_iter, tol=tol,
+            family="binomial", link="logit", fitIntercept=bool(constant), regParam=0.0, maxIter=max_iter, tol=tol,
             labelCol="__y", weightCol="__n", featuresCol="features",
         )
         model = learner.fit(assembled.select("__y", "__n", "features"))
-        summary = model.summary
-        found = dict(
-            zip(
-                kept,
-                zip(
-                    model.coefficients.toArray().tolist(),
-                    summary.coefficientStandardErrors,
-                    summary.tValues,
-                    summary.pValues,
-                ),
-            )
-        )
+        found = _coefficients(model, cells, gram, varying, constant)
     finally:
         cells.unpersist()
     rows = []
@@ -97,10 +94,39 @@ def fit_logit(
         if j not in found and column.factor is not None and group is not None:
             continue  # a text value that does not occur in this group
         values = found.get(j, (None, None, None, None))
+        values = [None if v is None else float(v) for v in values]
         rows.append((column.name, *values, *([column.group_level] if group else [])))
     return LogitFit(model, rows, group)
 
 
+def _is_constant(gram: np.ndarray, j: int) -> bool:
+    rows, total, squares = gram[-1, -1], gram[j, -1], gram[j, j]
+    return rows * squares - total**2 <= 1e-12 * rows * squares
+
+
+def _coefficients(
+    model: GeneralizedLinearRegressionModel, cells: DataFrame, gram: np.ndarray, varying: list[int], constant: list[int]
+) -> dict[int, tuple[float, float, float, float]]:
+    """Estimate, standard error, z and p of every fitted column."""
+    if not varying:  # the constant alone: its error has a closed form
+        n, p = cells.agg(F.sum("__n"), F.sum(F.col("__n") * F.col("__y")) / F.sum("__n")).first()
+        size = gram[constant[0], -1] / gram[-1, -1]
+        estimate, error = model.intercept, 1 / math.sqrt(n * p * (1 - p))
+        z = estimate / error
+        return {constant[0]: (estimate / size, error / abs(size), z * math.copysign(1, size), math.erfc(abs(z) / 2**0.5))}
+    summary = model.summary
+    rows = list(zip(
+        [*model.coefficients.toArray().tolist(), model.intercept],
+        summary.coefficientStandardErrors, summary.tValues, summary.pValues,
+    ))
+    found = dict(zip(varying, rows))
+    if constant:  # the intercept stands last
+        size = gram[constant[0], -1] / gram[-1, -1]
+        estimate, error, z, p = rows[len(varying)]
+        found[constant[0]] = (estimate / size, error / abs(size), z * math.copysign(1, size), p)
+    return found
+
+
 def fit_logit_by(
     df: DataFrame, label: str, terms: Sequence[Term], group: str, collapse: bool = False
 ) -> DataFrame:

@@ -13,8 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Right sides up to this many rows may be compared with every left row.
+MAX_COMPARED_ROWS = 256
 #: Interval tables up to this many rows are compared directly with every event; longer ones go by day.
-MAX_DIRECT_INTERVALS = 256
+MAX_DIRECT_INTERVALS = 8
 #: Day tables up to this many rows (a few MB) are broadcast.
 MAX_BROADCAST_DAYS = 50_000
 
@@ -77,11 +79,11 @@ def theta_join(
     The right side must be a short list (it is counted): comparisons without an equality have to look at every pair.
     For long interval tables use ``interval_join``.
     """
-    size = right.limit(MAX_DIRECT_INTERVALS + 1).count()
+    size = right.limit(MAX_COMPARED_ROWS + 1).count()
     has_equality = any(op == "==" for _, op, _ in conditions)
-    if size > MAX_DIRECT_INTERVALS and not has_equality:
+    if size > MAX_COMPARED_ROWS and not has_equality:
         raise ValueError("a long right side needs an equality; use interval_join for intervals")
-    if size <= MAX_DIRECT_INTERVALS:
+    if size <= MAX_COMPARED_ROWS:
         right = F.broadcast(right)
     condition = reduce(operator.and_, [_COMPARE[op](left[l], right[r]) for l, op, r in conditions])
     return left.join(right, condition, how)
@@ -110,19 +112,24 @@ def interval_join(
         short = right.limit(MAX_DIRECT_INTERVALS + 1).count() <= MAX_DIRECT_INTERVALS
         strategy = "direct" if short else "by_day"
 
-    def inside(at: Column, first: Column, last: Column) -> Column:
-        if bounds == "whole_day":
-            return (at >= first) & (at < F.date_add(last, 1))
-        return (at >= first) & (at <= last)
+    # Turn the dates into instants once per interval, not once per comparison.
+    last = F.date_add(F.to_date(end), 1) if bounds == "whole_day" else F.col(end)
+    bounded = right.withColumns(
+        {"__from": F.col(start).cast("timestamp_ntz"), "__to": last.cast("timestamp_ntz")}
+    )
+
+    def inside(intervals: DataFrame) -> Column:
+        before_end = left[ts] < intervals["__to"] if bounds == "whole_day" else left[ts] <= intervals["__to"]
+        return (left[ts] >= intervals["__from"]) & before_end
 
     if strategy == "direct":
-        condition = inside(left[ts], right[start], right[end])
-        return left.join(F.broadcast(right), condition, "left")
+        bounded = F.broadcast(bounded)
+        return left.join(bounded, inside(bounded), "left").drop("__from", "__to")
 
-    usable = right.where(F.col(start) <= F.col(end))
+    usable = bounded.where(F.col(start) <= F.col(end))
     days = usable.withColumn("__day", F.explode(F.sequence(F.to_date(start), F.to_date(end), F.expr("interval 1 day"))))
     n_days = usable.agg(F.sum(F.date_diff(F.to_date(end), F.to_date(start)) + 1)).first()[0] or 0
     if n_days <= MAX_BROADCAST_DAYS:
         days = F.broadcast(days)
-    condition = (F.to_date(left[ts]) == days["__day"]) & inside(left[ts], days[start], days[end])
-    return left.join(days, condition, "left").drop("__day")
+    condition = (F.to_date(left[ts]) == days["__day"]) & inside(days)
+    return left.join(days, condition, "left").drop("__day", "__from", "__to")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import na_sum
 from ..functions.text import first_contained, slugify
 from ..operators.joins import equi_join
 from ..operators.reshape import pivot_wide
@@ -39,6 +38,7 @@ def wide_by_player(long: DataFrame, stats: Sequence[str]) -> DataFrame:
     return pivot_wide(long, ids, "stat_name", [slug(s) for s in stats], ["stat_amount"])
 
 
+# The fill leaves nothing missing, so the second pivot sums plainly.
 def _subroles_with_missing(subroles: Sequence[str]) -> list[str]:
     return [*subroles, "0"]  # the fill turns a missing subrole into the text 0
 
@@ -48,7 +48,7 @@ def team_stats(player_stats: DataFrame, subroles: DataFrame, names: Sequence[str
     players = wide_by_player(stats_with_subrole(player_stats, subroles, TEAM_STATS), TEAM_STATS)
     players = players.withColumn("assisted_kills", F.col("final_blows") - F.col("solo_kills"))
     values = [slug(s) for s in TEAM_STATS if s != "Time Played"] + ["assisted_kills"]
-    return pivot_wide(players, ["map_id", "map_type", "team"], "subrole", _subroles_with_missing(names), values)
+    return pivot_wide(players, ["map_id", "map_type", "team"], "subrole", _subroles_with_missing(names), values, F.sum)
 
 
 def player_stats_wide(player_stats: DataFrame, subroles: DataFrame, names: Sequence[str] = SUBROLES) -> DataFrame:
@@ -57,7 +57,7 @@ def player_stats_wide(player_stats: DataFrame, subroles: DataFrame, names: Seque
     values = [slug(s) for s in PLAYER_STATS]
     kept = players.withColumn("subrole_column", F.col("subrole"))
     ids = ["map_id", "map_type", "player", "team", "subrole"]
-    return pivot_wide(kept, ids, "subrole_column", _subroles_with_missing(names), values)
+    return pivot_wide(kept, ids, "subrole_column", _subroles_with_missing(names), values, F.sum)
 
 
 def season(stage: str | Column = "stage") -> Column:
@@ -71,7 +71,3 @@ def model_frame(results: DataFrame, stats: DataFrame, drop_draws: bool) -> DataF
     )
     framed = two_sided(sides, stats, "map_id", "first_attacker", "first_defender", "map_winner", "team", drop_draws)
     return framed.withColumn("year", season())
-
-
-def sum_by(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    return df.groupBy(*keys).agg(na_sum(col).alias(col))
