@@ -37,9 +37,10 @@ def dense_rank_id(
 
     The rank is worked out on the distinct (keys, order) pairs in two levels: the number of pairs in earlier
     ``coarse`` steps plus the position within the step. ``coarse`` must never fall while ``order`` rises; its default
-    is the day. One key that holds a large part of the table is so spread over its days.
+    is the hour. One key that holds a large part of the table is so spread over its hours, and the task that adds up
+    the key's steps sees one number per hour.
     """
-    step = F.to_date(order) if coarse is None else coarse
+    step = F.date_trunc("hour", order) if coarse is None else coarse
     pairs = (
         df.where(F.col(order).isNotNull()).select(*keys, order).distinct().withColumn("__step", step)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import configure, materialize
+from ..session import configure, materialize, scratch
 from ..sources.files import read_table, write_table
 from . import ingest, lineups, results, roles, scores
 
@@ -16,7 +16,13 @@ def run(
 
     Each stage starts from the written table of the one before, so a lost executor costs one stage at most.
     """
-    configure(spark)
+    with scratch(configure(spark)):
+        _write_all(spark, source, patches, target, bounds, tol)
+
+
+def _write_all(
+    spark: SparkSession, source: str, patches: str, target: str, bounds: str, tol: float
+) -> None:
     write_table(ingest.read_patches(spark, patches), target, "patch_map")
     rounds = ingest.add_patches(
         ingest.clean_rounds(ingest.read_rounds(spark, source)), read_table(spark, target, "patch_map"), bounds

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,13 +47,31 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scope: ContextVar[str | None] = ContextVar("skillframe_scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``materialize`` wrote inside the block when the block ends."""
+    mark = f"scope-{uuid.uuid4().hex}"
+    token = _scope.set(mark)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/skillframe/{mark}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and gives the optimizer the real size of the result, so that a
-    later join broadcasts it only when it is small.
+    later join broadcasts it only when it is small. The files stay until the enclosing ``scratch`` block ends; without
+    one they belong to the application's folder.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/skillframe/{uuid.uuid4().hex}"
+    folder = _scope.get() or spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/skillframe/{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -37,7 +37,7 @@ ROUND_HEADER = [
 ]
 
 
-def write(folder: Path, matches_per_file: int = 14, seed: int = 5) -> None:
+def write(folder: Path, matches_per_file: int = 9, seed: int = 5) -> None:
     rng = random.Random(seed)
     (folder / "csvs").mkdir(parents=True)
     with open(folder / "patch_map.csv", "w", encoding="utf-8-sig", newline="") as f:

@@ -118,9 +118,9 @@ def test_results_tables(out):
     maps, matches = out("results_by_map"), out("results_by_match")
     # The corrected time of one round puts it, and so its map, under a second patch as well.
     assert maps.count() == out("match_map_stats").select("map_id", "patch").distinct().count()
-    assert maps.select("map_id").distinct().count() == 69 * 4
+    assert maps.select("map_id").distinct().count() == 44 * 4
     split = maps.groupBy("match_id").agg(F.countDistinct("patch").alias("n")).where("n > 1").count()
-    assert matches.count() == 69 + split
+    assert matches.count() == 44 + split
     total = F.col("team_one_match_score") + F.col("team_two_match_score") + F.col("ties")
     assert matches.where(total != F.col("games").cast("double")).count() == 0
 
