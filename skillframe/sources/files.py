@@ -73,6 +73,17 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".csv", exclude:
     return sorted(n for n in names if n.endswith(suffix) and n not in exclude)
 
 
+def header_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file, through Hadoop's file system."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
 def read_dialects(
     spark: SparkSession,
     folder: str,
@@ -83,17 +94,17 @@ def read_dialects(
 ) -> DataFrame:
     """All CSV files of a folder as one typed table with ``file_name``.
 
-    ``choose`` gives the dialect of particular file names, all others have the ``default``. Files of one dialect are
-    read together, so the number of scans is the number of dialects, not of files. Files of one dialect may order
-    their columns differently only if they are listed under their own dialect.
+    ``choose`` gives the dialect of particular file names, all others have the ``default``. Files that share dialect
+    and header line are read together, so the number of scans is the number of layouts, not of files; files that order
+    their columns differently are still bound by name.
     """
-    by_dialect: dict[str, tuple[Dialect, list[str]]] = {}
-    for name in list_files(spark, folder, exclude=exclude):
-        dialect = choose.get(name, default)
-        by_dialect.setdefault(dialect.name, (dialect, []))[1].append(f"{folder}/{name}")
-    if not by_dialect:
+    layouts: dict[tuple[str, str], tuple[Dialect, list[str]]] = {}
+    for file in list_files(spark, folder, exclude=exclude):
+        dialect, path = choose.get(file, default), f"{folder}/{file}"
+        layouts.setdefault((dialect.name, header_line(spark, path)), (dialect, []))[1].append(path)
+    if not layouts:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    parts = [(read_text_csv(spark, paths), dialect) for dialect, paths in by_dialect.values()]
+    parts = [(read_text_csv(spark, paths), dialect) for dialect, paths in layouts.values()]
     return union_dialects(parts, schema, keep=["file_name"])
 
 

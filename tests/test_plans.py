@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skillframe.plans import ingest, results, roles, run
-from skillframe.sources.files import list_files, read_text_csv, read_table, swap_table, write_table
+from skillframe.sources.files import Dialect, list_files, read_dialects, read_text_csv, read_table, swap_table, write_table
 
 MAP_COLUMNS = (
     "stage string, match_id string, map_id string, patch string, team_one_name string, team_two_name string, "
@@ -71,6 +71,17 @@ def test_header_mismatch_is_an_error(spark, tmp_path):
         read_text_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).collect()
 
 
+def test_columns_are_bound_by_name_in_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n20,10\n")
+    (tmp_path / "c.csv").write_text("why,x\n200,junk\n")
+    schema = {"x": "double", "y": "string", "z": "string"}
+    found = read_dialects(spark, str(tmp_path), {"c.csv": Dialect("c", {"why": "y"})}, Dialect("plain"), schema)
+    assert {tuple(r) for r in found.collect()} == {
+        (1.0, "2", None, "a.csv"), (10.0, "20", None, "b.csv"), (None, "200", None, "c.csv"),
+    }
+
+
 def test_swap_reads_what_it_overwrites(spark, tmp_path):
     write_table(spark.range(3), str(tmp_path), "t")
     swap_table(read_table(spark, str(tmp_path), "t").withColumn("twice", F.col("id") * 2), str(tmp_path), "t")
