@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat
+from . import chat, lines, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,5 +46,50 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-QUERIES: dict[str, Query] = {"op9_chat_formatting": op9_chat_formatting}
-ORACLES: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH split AS (
+  SELECT doc_id, coalesce('s' || source, '') AS site, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
+  FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+lines AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM split),
+spread AS (
+  SELECT bare, min((doc_id, pos)) AS first FROM lines WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT site) >= 10),
+judged AS (
+  SELECT l.*, s.first IS NOT NULL AND s.first <> (l.doc_id, l.pos) AS gone FROM lines l LEFT JOIN spread s USING (bare))
+SELECT doc_id, count(*) FILTER (WHERE bare <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("id") % 100 == 0), 10)
+
+
+OP10_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored) WHERE rank <= 10
+"""
+
+QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op9_chat_formatting": op9_chat_formatting,
+    "op10_topk_search": op10_topk_search,
+}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op9_chat_formatting": OP9_SQL,
+    "op10_topk_search": OP10_SQL,
+}
