@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, lines, topk
+from . import chat, lines, mixing, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = mixing.place(table(spark, sf_dir, "documents"))
+    return places.select(
+        F.col("doc").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("places")).cast("long").alias("taken"))
+
+
+OP2_SQL = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+total AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM total),
+weighted AS (SELECT *, [5, 2, 1][(rank - 1) % 3 + 1]::DOUBLE AS weight FROM ranked),
+leveled AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(source_size) OVER w, 0) * 2::DOUBLE)
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS level
+  FROM weighted WINDOW w AS (ORDER BY source_size::DOUBLE / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+opened AS (
+  SELECT arg_min(level, (source_size::DOUBLE / weight, rank)) AS level FROM leveled WHERE level * weight <= 2 * source_size::DOUBLE),
+goal AS (
+  SELECT rank, source, source_size, least(2 * source_size::DOUBLE, coalesce((SELECT level FROM opened) * weight, 2 * source_size::DOUBLE)) AS target
+  FROM weighted),
+rest AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS rounds,
+         least(65536, greatest(1, ceil(source_size / 16384)))::BIGINT AS n_blocks FROM goal),
+keyed AS (
+  SELECT s.doc_id, s.size, r.*, r.target - r.rounds * r.source_size AS rest,
+         ('0x' || substr(md5('7:' || coalesce(s.doc_id::VARCHAR, 'null') || ':' || s.size), 1, 15))::BIGINT AS key
+  FROM sizes s JOIN rest r ON s.source IS NOT DISTINCT FROM r.source),
+dealt AS (SELECT *, key % n_blocks AS block FROM keyed),
+blocks AS (SELECT rank, block, sum(size)::BIGINT AS words, any_value(rest) AS rest FROM dealt GROUP BY rank, block),
+listed AS (
+  SELECT *, sum(words) OVER (PARTITION BY rank ORDER BY ('0x' || substr(md5('8:' || rank || ':' || block), 1, 15))::BIGINT, block) - words AS before
+  FROM blocks),
+cut AS (SELECT rank, block, before, before + words <= rest AS whole, before + words > rest AND before < rest AS part FROM listed),
+placed AS (
+  SELECT d.*, c.before, c.whole, c.part, CASE WHEN c.part THEN sum(d.size) OVER (PARTITION BY d.rank, d.block
+         ORDER BY ('0x' || substr(md5('9:' || d.key), 1, 15))::BIGINT) END AS so_far
+  FROM dealt d JOIN cut c USING (rank, block))
+SELECT doc_id, size, source_size, target,
+       size * (rounds + CASE WHEN whole OR (part AND before + so_far - size / 2 <= rest) THEN 1 ELSE 0 END)::BIGINT AS taken
+FROM placed
+"""
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     record = f'{{"messages":[{{"role":"user","content":"{said}"}},{{"role":"assistant","content":"{said}"}}]}}'
@@ -85,11 +129,13 @@ SELECT query_id, rank, vec_id, score FROM (
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_source_mixing": op2_source_mixing,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_topk_search": op10_topk_search,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op2_source_mixing": OP2_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op10_topk_search": OP10_SQL,
 }
