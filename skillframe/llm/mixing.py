@@ -11,7 +11,7 @@
 4. A shard's quota is a range of its source's permuted draws, so shards are disjoint; rows are shuffled inside a shard.
 
 Only SQL functions are used. What meets in one task: a list of sources (one row each), a list of blocks of a source, the
-documents of one block.
+documents of ``PART_BLOCKS`` blocks.
 
 Defined cases: a null text has size 0; a size of 0 takes no words; equal rows get equal places; null ids and sources are
 values of their own; an empty table gives no rows; further columns are returned by ``mixed`` as they are.
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 MOST_BLOCKS = 65536
+PART_BLOCKS = 4
 _WORD_GAP = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -101,7 +102,8 @@ def place(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume: float
         blocks.withColumn("before", F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words"))
         .withColumn("pos", F.row_number().over(permuted).cast("long") - 1)
         .withColumn("whole", F.col("before") + F.col("words") <= F.col("rest"))
-        .withColumn("part", ~F.col("whole") & (F.col("before") < F.col("rest"))))
+        .withColumn("wholes", F.count_if("whole").over(Window.partitionBy("rank")))
+        .withColumn("part", ~F.col("whole") & (F.col("rest") > 0) & (F.col("pos") < F.col("wholes") + PART_BLOCKS)))
     quotas = listed.groupBy("rank").agg(
         F.count("*").alias("n"), (F.first("rounds") * F.count("*") + F.count_if("whole") + F.count_if("part")).cast("long").alias("draws"))
     shards = split_tree(quotas, depth, seed)
@@ -111,15 +113,18 @@ def place(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume: float
         "rank", "n", "shard", F.explode(F.sequence(F.col("until") - F.col("draws"), F.col("until") - 1)).alias("draw")).select(
         "rank", "shard", (F.col("draw") % F.col("n")).alias("pos"), F.expr("draw div n").alias("round"))
     block_places = listed.join(draws, ["rank", "pos"], "left").groupBy("rank", "block").agg(
-        F.first("before").alias("before"), F.first("part").alias("part"), F.first("rounds").alias("rounds"),
+        F.first("part").alias("part"), F.first("rounds").alias("rounds"),
         F.sort_array(F.collect_list(F.when(F.col("round").isNotNull(), F.struct("round", "shard")))).alias("places"))
-    split = listed.where("part").select("rank", "block", "before")
-    inside = Window.partitionBy("rank", "block").orderBy(_draw(F.lit(seed + 2), F.col("key")))
-    drawn = (keyed.join(split, ["rank", "block"])
-             .withColumn("so_far", F.sum("size").over(inside))
-             .where(F.col("before") + F.col("so_far") - F.col("size") / 2 <= F.col("rest"))
-             .select("rank", "block", "key", "body").distinct().withColumn("drawn", F.lit(True)))
-    placed = (keyed.join(block_places.select("rank", "block", "part", "places"), ["rank", "block"])
+    split = listed.where("part").withColumn("left", F.col("rest") - F.min("before").over(Window.partitionBy("rank"))).select(
+        "rank", "block", "left")
+    loose = keyed.join(split, ["rank", "block"]).groupBy("rank", "block", "key", "body").agg(
+        F.sum("size").alias("size"), F.first("left").alias("left"))
+    drawn = (loose.groupBy("rank").agg(F.first("left").alias("left"), F.sort_array(F.collect_list(F.struct(
+                _draw(F.lit(seed + 2), F.col("key")).alias("h"), "key", "body", "block", "size"))).alias("v"))
+             .select("rank", F.explode(F.expr("""aggregate(v, named_struct('left', left, 'got', slice(v, 1, 0)), (s, d) -> if(d.size <= s.left,
+                named_struct('left', s.left - d.size, 'got', concat(s.got, array(d))), s)).got""")).alias("d"))
+             .select("rank", "d.block", "d.key", "d.body", F.lit(True).alias("drawn")))
+    placed = (keyed.drop("rounds").join(block_places.select("rank", "block", "part", "rounds", "places"), ["rank", "block"])
               .join(drawn, ["rank", "block", "key", "body"], "left"))
     valid = F.filter("places", lambda p: ~F.col("part") | F.coalesce(F.col("drawn"), F.lit(False)) | (p["round"] < F.col("rounds")))
     return placed.select("doc", "body", "size", "source", "source_size", "target", valid.alias("places"), "key")

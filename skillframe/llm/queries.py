@@ -50,13 +50,21 @@ blocks AS (SELECT rank, block, sum(size)::BIGINT AS words, any_value(rest) AS re
 listed AS (
   SELECT *, sum(words) OVER (PARTITION BY rank ORDER BY ('0x' || substr(md5('8:' || rank || ':' || block), 1, 15))::BIGINT, block) - words AS before
   FROM blocks),
-cut AS (SELECT rank, block, before, before + words <= rest AS whole, before + words > rest AND before < rest AS part FROM listed),
-placed AS (
-  SELECT d.*, c.before, c.whole, c.part, CASE WHEN c.part THEN sum(d.size) OVER (PARTITION BY d.rank, d.block
-         ORDER BY ('0x' || substr(md5('9:' || d.key), 1, 15))::BIGINT) END AS so_far
-  FROM dealt d JOIN cut c USING (rank, block))
+cut AS (SELECT *, before + words <= rest AS whole, row_number() OVER (PARTITION BY rank
+         ORDER BY before + words > rest, ('0x' || substr(md5('8:' || rank || ':' || block), 1, 15))::BIGINT, block) AS pos FROM listed),
+parts AS (
+  SELECT *, NOT whole AND rest > 0 AND pos <= 4 + count(*) FILTER (WHERE whole) OVER (PARTITION BY rank) AS part FROM cut),
+placed AS (SELECT d.*, c.before, c.whole, c.part FROM dealt d JOIN parts c USING (rank, block)),
+lists AS (
+  SELECT rank, max(rest - before) AS left,
+         list({'left': 0::DOUBLE, 'got': []::BIGINT[], 'k': key, 'z': size} ORDER BY ('0x' || substr(md5('9:' || key), 1, 15))::BIGINT) AS v
+  FROM placed WHERE part GROUP BY rank),
+greedy AS (
+  SELECT rank, unnest(list_reduce(v, lambda s, d: CASE WHEN d.z <= s.left
+         THEN {'left': s.left - d.z, 'got': list_append(s.got, d.k), 'k': 0::BIGINT, 'z': 0::BIGINT} ELSE s END,
+         {'left': "left", 'got': []::BIGINT[], 'k': 0::BIGINT, 'z': 0::BIGINT}).got) AS key FROM lists)
 SELECT doc_id, size, source_size, target,
-       size * (rounds + CASE WHEN whole OR (part AND before + so_far - size / 2 <= rest) THEN 1 ELSE 0 END)::BIGINT AS taken
+       size * (rounds + CASE WHEN whole OR (part AND (rank, key) IN (SELECT (rank, key) FROM greedy)) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM placed
 """
 
