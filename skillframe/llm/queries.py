@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, lines, mixing, topk
+from . import chat, lines, mixing, topk, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,37 @@ FROM placed
 """
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = winnow.n_hit(F.col("spans"))
+    return found.select(
+        F.col("doc").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+OP8_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, m, w[s : s + m - 1] AS v FROM (
+    SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM item_words WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT doc_id, s, m, w[s : s + m - 1] AS v FROM (
+    SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM doc_words, (SELECT DISTINCT m FROM item_windows) WHERE len(w) >= m)),
+hits AS (SELECT d.doc_id, d.s, d.m, i.item_id FROM doc_windows d JOIN item_windows i ON d.v = i.v),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     record = f'{{"messages":[{{"role":"user","content":"{said}"}},{{"role":"assistant","content":"{said}"}}]}}'
@@ -138,12 +169,14 @@ SELECT query_id, rank, vec_id, score FROM (
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_topk_search": op10_topk_search,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op2_source_mixing": OP2_SQL,
+    "op8_benchmark_decontamination": OP8_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op10_topk_search": OP10_SQL,
 }
