@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, lines, mixing, topk, winnow
+from . import chat, lines, mixing, quality, topk, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,18 @@ FROM placed
 """
 
 
+def in_part(doc: str, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text leaves this remainder."""
+    return F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~in_part("doc_id", 3, 1))
+    scored = quality.score(docs.withColumn("held_out", in_part("doc_id", 3, 1)), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = winnow.n_hit(F.col("spans"))
@@ -169,6 +181,7 @@ SELECT query_id, rank, vec_id, score FROM (
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_topk_search": op10_topk_search,
