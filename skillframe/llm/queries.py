@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, lines, mixing, quality, topk, winnow
+from . import chat, html, lines, mixing, quality, topk, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ FROM placed
 """
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def in_part(doc: str, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder."""
     return F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % parts == part, F.lit(False))
@@ -181,6 +185,7 @@ SELECT query_id, rank, vec_id, score FROM (
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op4_html_extraction": op4_html_extraction,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
