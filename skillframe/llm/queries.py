@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, html, lines, mixing, quality, topk, winnow
+from . import chat, html, lines, lm, mixing, quality, substrings, topk, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,34 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS v FROM documents),
+windows AS (
+  SELECT doc_id, s, array_to_string(v[s : s + 12], ' ') AS t FROM (SELECT doc_id, v, unnest(range(1, len(v) - 11)) AS s FROM w WHERE len(v) >= 13)),
+first AS (SELECT t, min(doc_id) AS doc_id FROM windows GROUP BY t),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM windows JOIN (SELECT t, doc_id AS d FROM first) USING (t) WHERE d < doc_id),
+words AS (SELECT doc_id, unnest(v) AS word, generate_subscripts(v, 1) AS p FROM w),
+judged AS (SELECT words.*, gone.p IS NOT NULL AS removed FROM words LEFT JOIN gone USING (doc_id, p)),
+kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT removed) AS text
+  FROM judged GROUP BY doc_id)
+SELECT w.doc_id, len(v)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", in_part("doc_id", 7, 2).alias("held_out"))
+    return lm.score(docs).withColumnRenamed("doc", "doc_id")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = winnow.n_hit(F.col("spans"))
@@ -187,6 +215,8 @@ QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op4_html_extraction": op4_html_extraction,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_topk_search": op10_topk_search,
@@ -194,6 +224,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op2_source_mixing": OP2_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op10_topk_search": OP10_SQL,
