@@ -152,10 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     return fit_rows(y[order], [features[i] for i in order], [np.frombuffer(rows[i]["value"], np.float32) for i in order])
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``score``."""
+def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``score``; the text only if it is to be kept."""
     weights, bias = model.weights, model.bias
-    others = [c for c in docs.columns if c != text]
+    others = [c for c in docs.columns if keep_text or c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,5 +167,5 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             scores = np.concatenate(out) if out else np.empty(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(scores)], [*others, "score"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in others)
     return docs.mapInArrow(run, f"{kinds}, score double" if kinds else "score double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, html, lines, lm, mixing, quality, substrings, topk, winnow
+from . import chat, html, jaccard, lines, lm, mixing, quality, substrings, topk, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ FROM placed
 """
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -213,6 +217,7 @@ SELECT query_id, rank, vec_id, score FROM (
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_html_extraction": op4_html_extraction,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_substring_dedup": op6_substring_dedup,
