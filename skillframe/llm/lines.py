@@ -30,7 +30,7 @@ def _split(text: Column) -> Column:
 
 def _line_table(docs: DataFrame, doc: str, text: str, site: str) -> DataFrame:
     lines = docs.select(
-        F.col(doc).alias("doc"), F.xxhash64(text).alias("body"), F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("")).alias("site"),
+        F.col(doc).alias("doc"), F.xxhash64(text).alias("body"), F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("none")).alias("site"),
         F.posexplode(_split(F.col(text))).alias("pos", "line"))
     line = F.btrim("line", F.lit(BLANKS))
     return lines.where(line != "").select(
