@@ -121,8 +121,10 @@ def place(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume: float
         F.sum("size").alias("size"), F.first("left").alias("left"))
     drawn = (loose.groupBy("rank").agg(F.first("left").alias("left"), F.sort_array(F.collect_list(F.struct(
                 _draw(F.lit(seed + 2), F.col("key")).alias("h"), "key", "body", "block", "size"))).alias("v"))
-             .select("rank", F.explode(F.expr("""aggregate(v, named_struct('left', left, 'got', slice(v, 1, 0)), (s, d) -> if(d.size <= s.left,
-                named_struct('left', s.left - d.size, 'got', concat(s.got, array(d))), s)).got""")).alias("d"))
+             .withColumn("fit", F.expr("""aggregate(v, named_struct('left', left, 'got', slice(v, 1, 0)), (s, d) -> if(d.size <= s.left,
+                named_struct('left', s.left - d.size, 'got', concat(s.got, array(d))), s))"""))
+             .withColumn("next", F.expr("array_min(transform(array_except(v, fit.got), d -> named_struct('size', d.size, 'd', d)))"))
+             .select("rank", F.explode(F.when(F.col("next.size") < 2 * F.col("fit.left"), F.concat("fit.got", F.array("next.d"))).otherwise(F.col("fit.got"))).alias("d"))
              .select("rank", "d.block", "d.key", "d.body", F.lit(True).alias("drawn")))
     placed = (keyed.drop("rounds").join(block_places.select("rank", "block", "part", "rounds", "places"), ["rank", "block"])
               .join(drawn, ["rank", "block", "key", "body"], "left"))

@@ -57,12 +57,16 @@ parts AS (
 placed AS (SELECT d.*, c.before, c.whole, c.part FROM dealt d JOIN parts c USING (rank, block)),
 lists AS (
   SELECT rank, max(rest - before) AS left,
-         list({'left': 0::DOUBLE, 'got': []::BIGINT[], 'k': key, 'z': size} ORDER BY ('0x' || substr(md5('9:' || key), 1, 15))::BIGINT) AS v
-  FROM placed WHERE part GROUP BY rank),
-greedy AS (
-  SELECT rank, unnest(list_reduce(v, lambda s, d: CASE WHEN d.z <= s.left
-         THEN {'left': s.left - d.z, 'got': list_append(s.got, d.k), 'k': 0::BIGINT, 'z': 0::BIGINT} ELSE s END,
-         {'left': "left", 'got': []::BIGINT[], 'k': 0::BIGINT, 'z': 0::BIGINT}).got) AS key FROM lists)
+         list({'left': 0::DOUBLE, 'got': []::BIGINT[], 'z': size, 'h': h, 'k': key} ORDER BY h) AS v
+  FROM (SELECT *, ('0x' || substr(md5('9:' || key), 1, 15))::BIGINT AS h FROM placed WHERE part) GROUP BY rank),
+fitted AS (
+  SELECT rank, v, list_reduce(v, lambda s, d: CASE WHEN d.z <= s.left
+         THEN {'left': s.left - d.z, 'got': list_append(s.got, d.k), 'z': 0::BIGINT, 'h': 0::BIGINT, 'k': 0::BIGINT} ELSE s END,
+         {'left': "left", 'got': []::BIGINT[], 'z': 0::BIGINT, 'h': 0::BIGINT, 'k': 0::BIGINT}) AS fit FROM lists),
+ended AS (
+  SELECT rank, fit, list_sort(list_transform(list_filter(v, lambda x: NOT list_contains(fit.got, x.k)), lambda x: {'z': x.z, 'h': x.h, 'k': x.k}))[1] AS next
+  FROM fitted),
+greedy AS (SELECT rank, unnest(CASE WHEN next.z < 2 * fit.left THEN list_append(fit.got, next.k) ELSE fit.got END) AS key FROM ended)
 SELECT doc_id, size, source_size, target,
        size * (rounds + CASE WHEN whole OR (part AND (rank, key) IN (SELECT (rank, key) FROM greedy)) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM placed
