@@ -6,10 +6,12 @@ asks for more common shingles.
 
 1. Equal texts are collapsed to the smallest id. Groups of documents send the shingles of their longest prefixes and learn which
    occur elsewhere; a document with too few of them has no partner. Only what is left is listed as postings.
+   Among those left, the shingles of whole sets are counted the same way: what a set shares with any other bounds what it
+   shares with one, so a pair whose sizes ask for more is not a candidate.
 2. Each document chooses its l by the estimated cost of its candidates (posting lengths, and verifications, which fall with l).
    A longer prefix also lets it leave out its most common shingles: with m of them in the prefix, l - m of the others must match.
-3. Leaders: each document is verified against the documents that come first in most of its postings. Families of copies fall
-   into one component in linear time.
+3. Leaders: each document is verified against those of its postings that have the least of their own, as an unedited
+   original has. Families of copies fall into one component in linear time.
 4. All remaining pairs: a document probes the postings for sets at least as large. Two members of the largest component of
    a posting need no test, so the postings of a family are not paired with themselves.
 5. Candidates with enough matches are verified on whole sets: 100 * intersection >= 80 * union. Links form components.
@@ -17,7 +19,7 @@ asks for more common shingles.
 Steps 3 and 4 only ever leave out pairs that are in one component already, so no component is lost.
 
 Defined cases: no words or no text: an empty set, linked with nothing; fewer than N words: one shingle, the whole; a row without id
-links as the others do, and a component of such rows alone has no id; repeated rows are copies; rows of one id with
+links through equal texts that have one, and has no component otherwise; repeated rows are copies; rows of one id with
 different texts are judged one by one; an empty table gives no rows; other columns are ignored.
 """
 
@@ -87,13 +89,29 @@ def _prefix(rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rank, rank < (sizes - least_common(sizes) + longest(sizes))[rows]
 
 
-def _prefixes_sent(table: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _asked(table: pa.Table, g: int, buckets: int) -> pa.Table:
+    """Distinct prefix shingles and whether two texts of the group have them; and texts with their smallest id, in buckets of their own."""
     values, rows, sizes, text = _sets(table)
+    doc = groups.ids(table)
+    first = _first_rows(text, doc, sizes)
     once = np.zeros(len(sizes), bool)
-    once[_first_rows(text, groups.ids(table), sizes)] = True
+    once[first] = True
     _, use = _prefix(rows, sizes)
     keys, counts = np.unique(groups.shortened(values[use & once[rows]], buckets), return_counts=True)
-    return keys, (counts > 1).astype(np.uint8)
+    shingles = groups.packed(g, buckets, keys, (counts > 1).astype(np.uint8), short=True)
+    texts = groups.packed(g, buckets, text[first], doc[first])
+    b = pa.array(texts.column("b").to_numpy() + np.int32(buckets))
+    return pa.concat_tables([shingles, texts.set_column(0, "b", b)])
+
+
+def _answered(table: pa.Table, b: int, buckets: int) -> pa.Table:
+    if b < buckets:
+        keys, lengths = groups.joined(table.column("keys"), np.uint32)
+        back = _seen_twice(keys, groups.joined(table.column("v0"), np.uint8)[0])[0]
+    else:
+        keys, lengths = groups.joined(table.column("keys"), np.uint64)
+        back = _smallest(keys, groups.joined(table.column("v0"), np.int64)[0])[0]
+    return pa.table({"g": table.column("g"), "b": table.column("b"), "r0": groups.cells(back, lengths)})
 
 
 def _seen_twice(keys: np.ndarray, several: np.ndarray) -> tuple[np.ndarray]:
@@ -103,13 +121,6 @@ def _seen_twice(keys: np.ndarray, several: np.ndarray) -> tuple[np.ndarray]:
     return (twice[at].astype(np.uint8),)
 
 
-def _texts_sent(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    _, _, sizes, text = _sets(table)
-    doc = groups.ids(table)
-    first = _first_rows(text, doc, sizes)
-    return text[first], doc[first]
-
-
 def _smallest(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray]:
     _, at = np.unique(keys, return_inverse=True)
     least = np.full(int(at.max()) + 1 if len(at) else 0, groups.NO_ID)
@@ -188,13 +199,41 @@ def choose(n: int, rank: np.ndarray, length: np.ndarray) -> tuple[int, int, bool
     return best[1:]  # type: ignore[return-value]
 
 
-_CHOSEN = "token long, doc long, n int, prefix int, asked int"
+def _shingles(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of listed documents, and which of them each has."""
+    values, counts = groups.joined(table.column("shingles"), np.uint64)
+    return values, np.repeat(np.arange(table.num_rows), counts)
+
+
+def support(listed: DataFrame) -> DataFrame:
+    """doc, n, s: how many of a listed document's n shingles another listed document has too."""
+    size = listed.select(F.sum("n").alias("n")).first()["n"] or 0
+    n_groups, buckets = 1 + 8 * size // groups.GROUP_BYTES, 1 + 6 * size // groups.BUCKET_BYTES
+    dealt = listed.select(F.pmod(F.xxhash64("doc"), F.lit(n_groups)).cast("int").alias("g"), "doc", "n", "shingles")
+
+    def ask(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.unique(groups.shortened(_shingles(table)[0], buckets), return_counts=True)
+        return keys, (counts > 1).astype(np.uint8)
+
+    asked = groups.send(groups.Dealt(dealt, n_groups, buckets), ask, 1, short=True)
+    told = groups.answer(asked, _seen_twice, [np.uint8], 1, short=True)
+
+    def finish(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
+        values, row = _shingles(table)
+        _, at = np.unique(groups.shortened(values, buckets), return_inverse=True)
+        shared = groups.read(answers, [np.uint8])[0][at] > 0
+        return pa.table({"doc": table.column("doc"), "n": table.column("n"), "s": pa.array(np.bincount(row[shared], minlength=table.num_rows).astype(np.int32))})
+
+    return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, "doc long, n int, s int")
+
+
+_CHOSEN = "token long, doc long, n int, s int, prefix int, asked int"
 
 
 def _choices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple[np.ndarray, ...]] = []
-        for doc, n, listed in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "listed")), strict=True):
+        for doc, n, s, listed in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "s", "listed")), strict=True):
             rank, token, length = (np.array([x[c] for x in listed], np.int64) for c in ("rank", "token", "df"))
             level, asked, skip = choose(n, rank, length)
             use = rank < n - int(least_common(np.int64(n))) + level
@@ -202,11 +241,11 @@ def _choices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 use &= length <= COMMON
             count = int(use.sum())
             if count >= asked:
-                out.append((token[use], *(np.full(count, x) for x in (doc, n, level, asked))))
+                out.append((token[use], *(np.full(count, x) for x in (doc, n, s, level, asked))))
         if out:
-            token, doc, n, level, asked = (np.concatenate(x) for x in zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(doc, pa.int64()), pa.array(n, pa.int32()), pa.array(level, pa.int32()), pa.array(asked, pa.int32())],
-                                             ["token", "doc", "n", "prefix", "asked"])
+            token, doc, *small = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(doc, pa.int64()), *(pa.array(x, pa.int32()) for x in small)],
+                                             ["token", "doc", "n", "s", "prefix", "asked"])
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,44 +267,51 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_overlaps, "a long, b long, link boolean").where("link").select("a", "b")
 
 
-def _size_fits(small: str, large: str) -> Column:
-    return F.col(large) * SHARE <= F.col(small) * 100
+def _fits(*supports: str) -> Column:
+    """Whether sets of sizes n and bn can share enough: at most what each shares with anything."""
+    return (F.col("n") + F.col("bn")) * SHARE <= F.least(*supports) * (100 + SHARE)
 
 
 def link(base: DataFrame) -> DataFrame:
     """Links (a, b) between different texts, enough to connect every component. base: as ``_base`` gives it."""
     listed = base.where(F.col("tokens").isNotNull())
     sets = listed.select("doc", "shingles")
-    raw = listed.select("doc", "n", "tokens", "ranks").mapInArrow(_postings, "token long, doc long, n int, rank int")
+    # A set that shares less than this with all others together links with none.
+    known = materialize(support(listed).where(F.col("s") * 100 >= F.col("n") * SHARE))
+    raw = listed.select("doc", "n", "tokens", "ranks").mapInArrow(_postings, "token long, doc long, n int, rank int").join(known, ["doc", "n"])
     raw = materialize(raw)
     df = raw.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     index = materialize(raw.join(df, "token"))
     chosen = materialize(
-        index.groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("listed"))
+        index.groupBy("doc", "n", "s").agg(F.sort_array(F.collect_list(F.struct("rank", "token", "df"))).alias("listed"))
         .mapInArrow(_choices, _CHOSEN))
-    # Leaders: the first documents of a posting in a fixed random order.
-    first = Window.partitionBy("token").orderBy(F.xxhash64("doc"), "doc")
-    leaders = index.withColumn("k", F.row_number().over(first)).where(F.col("k") <= LEADERS).select("token", F.col("doc").alias("b"), F.col("n").alias("bn"))
-    led = (chosen.join(leaders, "token").where((F.col("doc") != F.col("b")) & _size_fits("n", "bn") & _size_fits("bn", "n"))
+    # Leaders: the documents of a posting with the smallest share of shingles of their own.
+    first = Window.partitionBy("token").orderBy((F.col("n") - F.col("s")) / F.col("n"), F.xxhash64("doc"), "doc")
+    leaders = index.withColumn("k", F.row_number().over(first)).where(F.col("k") <= LEADERS).select(
+        "token", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"))
+    led = (chosen.join(leaders, "token").where((F.col("doc") != F.col("b")) & _fits("s", "bs"))
            .groupBy(F.col("doc").alias("a"), "b").agg(F.count("*").alias("hits")))
     best = Window.partitionBy("a").orderBy(F.desc("hits"), "b")
     ranked = materialize(led.withColumn("k", F.row_number().over(best)).where(F.col("k") <= LEADERS))
     links = materialize(_verified(ranked.where(F.col("k") == 1).select("a", "b"), sets))
     for k in range(2, LEADERS + 1):
-        # Only those that no leader has taken yet, unless they lead themselves.
+        # Only those that no leader has taken yet.
         left = ranked.where(F.col("k") == k).select("a", "b").join(links.select("a").distinct(), "a", "left_anti")
         links = materialize(links.unionByName(_verified(left, sets)))
     label = components(links)
     # Pairs across components: index entries and probes of a posting's largest component do not meet.
     named = lambda t: t.join(label, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    entries, probes = named(index), named(chosen)
+    # The smaller set probes, so it must share enough for a partner of its own size at least.
+    entries, probes = named(index), named(chosen.where(F.col("n") * (2 * SHARE) <= F.col("s") * (100 + SHARE)))
     largest = entries.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"))
     open_tokens = materialize(largest.where(F.col("labels") > 1).select("token", "main"))
-    entries = entries.join(open_tokens, "token").select("token", F.col("doc").alias("b"), F.col("n").alias("bn"), "rank", F.col("label").alias("bl"), "main")
-    probes = probes.join(open_tokens, "token").select("token", F.col("doc").alias("a"), "n", "prefix", "asked", F.col("label").alias("al"), F.col("main").alias("amain"))
+    entries = entries.join(open_tokens, "token").select(
+        "token", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), "rank", F.col("label").alias("bl"), "main")
+    probes = probes.join(open_tokens, "token").select(
+        "token", F.col("doc").alias("a"), "n", "s", "prefix", "asked", F.col("label").alias("al"), F.col("main").alias("amain"))
     allowed = F.col("rank") < F.col("bn") - F.floor((F.col("bn") * SHARE + 99) / 100) + F.col("prefix")
     larger = (F.col("bn") > F.col("n")) | ((F.col("bn") == F.col("n")) & (F.col("b") > F.col("a")))
-    cross = allowed & larger & _size_fits("n", "bn") & (F.col("al") != F.col("bl"))
+    cross = allowed & larger & _fits("s", "bs") & (F.col("al") != F.col("bl"))
     outer = probes.where(F.col("al") != F.col("amain")).join(entries, "token").where(cross)
     inner = probes.where(F.col("al") == F.col("amain")).join(entries.where(F.col("bl") != F.col("main")), "token").where(cross)
     keep = ["a", "b", "asked"]
@@ -278,16 +324,21 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     """One row per row: doc, n_shingles, component_id (smallest id reachable by links, itself included)."""
     dealt = groups.deal(docs, doc, text)
     buckets, by_group = dealt.buckets, dealt.frame.groupBy("g")
-    elsewhere = groups.answer(groups.send(dealt, lambda t: _prefixes_sent(t, buckets), 1, short=True), _seen_twice, [np.uint8], 1, short=True)
-    smallest = groups.answer(groups.send(dealt, _texts_sent, 1), _smallest, [np.int64], 1)
-    both = elsewhere.withColumn("step", F.lit(1)).unionByName(smallest.withColumn("step", F.lit(2)))
+
+    def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _asked(table, key[0].as_py(), buckets)
+
+    def tell(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _answered(table, key[0].as_py(), buckets)
+
+    told = by_group.applyInArrow(ask, groups.send_schema(1)).groupBy("b").applyInArrow(tell, "g int, b int, r0 binary")
 
     def finish(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
-        step = answers.column("step").to_numpy()
-        first, second = (groups.read(answers.filter(pa.array(step == s)), [k])[0] for s, k in ((1, np.uint8), (2, np.int64)))
+        texts = answers.column("b").to_numpy() >= buckets
+        first, second = (groups.read(answers.filter(pa.array(of)), [k])[0] for of, k in ((~texts, np.uint8), (texts, np.int64)))
         return _base(table, first, second, buckets)
 
-    base = materialize(by_group.cogroup(both.groupBy("g")).applyInArrow(finish, _BASE))
+    base = materialize(by_group.cogroup(told.groupBy("g")).applyInArrow(finish, _BASE))
     label = components(link(base)).select(F.col("doc").alias("rep"), "label")
     return base.select("doc", "n", "rep").join(label, "rep", "left").select(
         "doc", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
