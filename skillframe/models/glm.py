@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -21,11 +22,15 @@ COEF_SCHEMA = "term string, estimate double, std_error double, statistic double,
 
 @dataclass
 class LogitFit:
-    """A fitted model with its coefficient rows; aliased columns have NULL estimates."""
+    """A fitted model with its coefficient rows; aliased columns have NULL estimates.
+
+    ``converged`` is false if the fit stopped at its last round, as it does where a term separates the outcomes.
+    """
 
     model: GeneralizedLinearRegressionModel
     rows: list[tuple]
     group: str | None = None
+    converged: bool = True
 
     def coef_df(self, spark: SparkSession) -> DataFrame:
         schema = COEF_SCHEMA + (f", {self.group} string" if self.group else "")
@@ -89,14 +94,17 @@ def fit_logit(
         found = _coefficients(model, cells, gram, varying, constant)
     finally:
         cells.unpersist()
+    converged = model.summary.numIterations < max_iter
+    if not converged:
+        warnings.warn(f"the logistic fit did not converge in {max_iter} rounds", stacklevel=2)
     rows = []
     for j, column in enumerate(columns):
-        if j not in found and column.factor is not None and group is not None:
-            continue  # a text value that does not occur in this group
+        if j not in found and column.factor is not None and group is not None and gram[j, j] == 0:
+            continue  # a text value that does not occur in this group; a dependent one stays, with NULL
         values = found.get(j, (None, None, None, None))
         values = [None if v is None else float(v) for v in values]
         rows.append((column.name, *values, *([column.group_level] if group else [])))
-    return LogitFit(model, rows, group)
+    return LogitFit(model, rows, group, converged)
 
 
 def _is_constant(gram: np.ndarray, j: int) -> bool:

@@ -58,9 +58,10 @@ def fit_crossed_logit(
     tol: float = 1e-4,
     max_rounds: int = 200,
 ) -> CrossedFit:
-    """Fit until no coefficient, effect or effect deviation moves by ``tol`` or more in a round.
+    """Fit until a round moves no effect, deviation or coefficient by ``tol`` or more of the effects' deviation.
 
-    ``variances`` fixes the effect variances instead of estimating them. Raises when ``max_rounds`` do not suffice.
+    The rule is relative, so that small effects do not count as standing still; coefficients are held against the larger
+    deviation or their own size. Below the deviation of ``VARIANCE_FLOOR`` there is no effect to resolve. ``variances`` fixes the effect variances instead of estimating them. Raises when ``max_rounds`` do not suffice.
     """
     number, factor = split_term(df, fixed)
     level = F.col(factor) if factor else F.lit("")
@@ -87,7 +88,7 @@ def fit_crossed_logit(
         for row in slopes.collect():  # one row per factor level
             step = row["s"] / row["h"] if row["h"] else 0.0
             beta[row["__level"]] += step
-            moved = max(moved, abs(step))
+            moved = max(moved, abs(step) / max(*map(_deviation, sigma), abs(beta[row["__level"]])))
 
         for i in range(2):
             old, scale = f"first(__eff{i})", f"(sum(__weight) + {sqltext.literal(1.0 / sigma[i])})"
@@ -100,11 +101,11 @@ def fit_crossed_logit(
             e.selectExpr(f"{i} AS i", "max(step)", "sum(eff * eff)", "sum(var)") for i, e in enumerate(effects)
         ]
         for i, step, squares, spread in summary[0].union(summary[1]).collect():
-            moved = max(moved, step)
+            moved = max(moved, step / _deviation(sigma[i]))
             if variances is None:
                 free = max(sizes[i] - spread / sigma[i], 1e-12)
                 estimate = max(squares / free, VARIANCE_FLOOR)
-                moved = max(moved, abs(estimate**0.5 - sigma[i] ** 0.5))
+                moved = max(moved, abs(_deviation(estimate) / _deviation(sigma[i]) - 1))
                 trail[i].append(math.log(estimate))
                 sigma[i] = math.exp(_ahead(trail[i]))
         if moved < tol:
@@ -118,6 +119,10 @@ def fit_crossed_logit(
     raise RuntimeError(f"no convergence within {max_rounds} rounds; the last round moved by {moved:.3g}")
 
 
+def _deviation(variance: float) -> float:
+    return max(variance, VARIANCE_FLOOR) ** 0.5
+
+
 def _ahead(trail: list[float]) -> float:
     """The last log-variance, or after two plain steps the point they head for.
 

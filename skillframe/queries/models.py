@@ -71,7 +71,7 @@ def glm_logit(spark, sf):
 
 
 def mixed_intercepts(spark, sf):
-    fit = fit_crossed_logit(labelled(spark, sf), "quality", Term("one"), ("source", "lang"), tol=1e-3)
+    fit = fit_crossed_logit(labelled(spark, sf), "quality", Term("one"), ("source", "lang"))
     return fit.effects
 
 

@@ -169,7 +169,7 @@ def _type_players(spark, sf):
 def _rated(spark, sf):
     sides = lineups.side_players(order_results(spark, sf), _type_players(spark, sf))
     frame = materialize(lineups.lineup_frame(sides))
-    return frame, lineups.lineup_scores(frame, tol=1e-2)
+    return frame, lineups.lineup_scores(frame)
 
 
 def on_off_lineup_scores(spark, sf):
