@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 #: Right sides up to this many rows may be compared with every left row.
 MAX_COMPARED_ROWS = 256
-#: Interval tables up to this many rows are compared directly with every event; longer ones go by day.
+#: Interval tables up to this many rows are compared directly with every event; longer ones go by day. Both give the same rows.
 MAX_DIRECT_INTERVALS = 8
 #: Day tables up to this many rows (a few MB) are broadcast.
 MAX_BROADCAST_DAYS = 50_000
@@ -101,8 +101,9 @@ def interval_join(
     """Left join of events with the date intervals that hold them; an event in several intervals is repeated.
 
     ``bounds='midnight'`` takes both dates as midnight instants, so most of the end date lies outside;
-    ``bounds='whole_day'`` includes the end date to its last moment. Short interval tables are compared directly;
-    long ones are spread over their days and joined on the day, with the exact bounds as a residual.
+    ``bounds='whole_day'`` includes the end date to its last moment. Bounds count as the dates they fall on; an interval that
+    ends before it starts holds nothing. Short interval tables are compared directly; long ones are spread over their days
+    and joined on the day, with the exact bounds as a residual. Both ways give the same rows.
     """
     if bounds not in ("midnight", "whole_day"):
         raise ValueError(f"unknown bounds: {bounds}")
@@ -113,9 +114,10 @@ def interval_join(
         strategy = "direct" if short else "by_day"
 
     # Turn the dates into instants once per interval, not once per comparison.
-    last = F.date_add(F.to_date(end), 1) if bounds == "whole_day" else F.col(end)
-    bounded = right.withColumns(
-        {"__from": F.col(start).cast("timestamp_ntz"), "__to": last.cast("timestamp_ntz")}
+    first, final = F.to_date(start), F.to_date(end)
+    last = F.date_add(final, 1) if bounds == "whole_day" else final
+    bounded = right.where(first <= final).withColumns(
+        {"__from": first.cast("timestamp_ntz"), "__to": last.cast("timestamp_ntz")}
     )
 
     def inside(intervals: DataFrame) -> Column:
@@ -123,12 +125,12 @@ def interval_join(
         return (left[ts] >= intervals["__from"]) & before_end
 
     if strategy == "direct":
-        bounded = F.broadcast(bounded)
+        if bounded.limit(MAX_COMPARED_ROWS + 1).count() <= MAX_COMPARED_ROWS:
+            bounded = F.broadcast(bounded)
         return left.join(bounded, inside(bounded), "left").drop("__from", "__to")
 
-    usable = bounded.where(F.col(start) <= F.col(end))
-    days = usable.withColumn("__day", F.explode(F.sequence(F.to_date(start), F.to_date(end), F.expr("interval 1 day"))))
-    n_days = usable.agg(F.sum(F.date_diff(F.to_date(end), F.to_date(start)) + 1)).first()[0] or 0
+    days = bounded.withColumn("__day", F.explode(F.sequence(first, final, F.expr("interval 1 day"))))
+    n_days = bounded.agg(F.sum(F.date_diff(final, first) + 1)).first()[0] or 0
     if n_days <= MAX_BROADCAST_DAYS:
         days = F.broadcast(days)
     condition = (F.to_date(left[ts]) == days["__day"]) & inside(days)

@@ -23,12 +23,13 @@ def relabel(df: DataFrame, col: str, lookup: DataFrame | Mapping[str, str], defa
     """Replace values through a lookup (first column old, second column new).
 
     ``default='keep'`` passes unknown values through; ``default=None`` makes them NULL (class labels). A mapping
-    becomes an expression; a lookup table is joined, and broadcast only when a bounded count shows it is small.
+    becomes an expression; a lookup table is joined, and broadcast only when a bounded count shows it is small. If a key
+    is listed twice, the smallest new value holds (missing ones last), so no row of ``df`` is multiplied.
     """
     if isinstance(lookup, Mapping):
         return df.withColumn(col, relabel_expr(F.col(col), lookup, default))
     key, value = lookup.columns[:2]
-    table = lookup.select(F.col(key).alias("__old"), F.col(value).alias("__new")).where(F.col("__old").isNotNull())
+    table = lookup.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__old")).agg(F.min(value).alias("__new"))
     if table.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         table = F.broadcast(table)
     joined = df.join(table, df[col] == table["__old"], "left")
@@ -42,8 +43,11 @@ def relabel_expr(c: Column, mapping: Mapping[str, str], default: str | None = "k
 
 
 def apply_corrections(df: DataFrame, corrections: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """Override ``col`` in the rows whose keys are listed in ``corrections`` (keys plus a column named ``col``)."""
-    fixes = corrections.select(*keys, F.col(col).alias("__fix"), F.lit(True).alias("__hit"))
+    """Override ``col`` in the rows whose keys are listed in ``corrections`` (keys plus a column named ``col``).
+
+    If keys are listed twice, the smallest value holds (missing ones last), so no row of ``df`` is multiplied.
+    """
+    fixes = corrections.groupBy(*keys).agg(F.min(col).alias("__fix"), F.lit(True).alias("__hit"))
     if fixes.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         fixes = F.broadcast(fixes)
     joined = equi_join(df, fixes, keys, "left", nullsafe=False)

@@ -31,7 +31,7 @@ def pivot_wide(
     df: DataFrame,
     ids: Sequence[str],
     names_from: str,
-    names: Mapping[object, str] | Sequence[str],
+    names: Mapping[object, str] | Sequence[str] | None,
     values_from: Sequence[str],
     agg: Callable[[Column], Column] = na_sum,
     fill_num: float | None = 0,
@@ -39,10 +39,14 @@ def pivot_wide(
 ) -> DataFrame:
     """One row per ``ids``, one column per value of ``names_from`` and value column.
 
-    ``names`` lists the values to spread, or maps them to column labels; a value of None stands for missing. With one
+    ``names`` lists the values to spread, or maps them to column labels; a value of None stands for missing. ``names=None``
+    takes every value present, found by one distinct pass, sorted, missing last under the label ``NA``. With one
     value column the labels are the column names; with several the names are ``value_label``, value by value. Only
     matching rows enter ``agg``; cells without rows are missing, then filled. Cost is one group-by.
     """
+    if names is None:
+        found = [r[0] for r in df.select(names_from).distinct().collect()]
+        names = {v: "NA" if v is None else str(v) for v in sorted(found, key=lambda v: (v is None, v if v is not None else 0))}
     labels = dict(names) if isinstance(names, Mapping) else {n: n for n in names}
     single = len(values_from) == 1
     cells = []

@@ -39,19 +39,19 @@ def wide_by_player(long: DataFrame, stats: Sequence[str]) -> DataFrame:
 
 
 # The fill leaves nothing missing, so the second pivot sums plainly.
-def _subroles_with_missing(subroles: Sequence[str]) -> list[str]:
-    return [*subroles, "0"]  # the fill turns a missing subrole into the text 0
+def _subroles_with_missing(subroles: Sequence[str] | None) -> list[str] | None:
+    return None if subroles is None else [*subroles, "0"]  # the fill turns a missing subrole into the text 0
 
 
-def team_stats(player_stats: DataFrame, subroles: DataFrame, names: Sequence[str] = SUBROLES) -> DataFrame:
-    """Statistics of a team on a map, one column per statistic and subrole."""
+def team_stats(player_stats: DataFrame, subroles: DataFrame, names: Sequence[str] | None = SUBROLES) -> DataFrame:
+    """Statistics of a team on a map, one column per statistic and subrole; ``names=None`` takes all subroles present."""
     players = wide_by_player(stats_with_subrole(player_stats, subroles, TEAM_STATS), TEAM_STATS)
     players = players.withColumn("assisted_kills", F.col("final_blows") - F.col("solo_kills"))
     values = [slug(s) for s in TEAM_STATS if s != "Time Played"] + ["assisted_kills"]
     return pivot_wide(players, ["map_id", "map_type", "team"], "subrole", _subroles_with_missing(names), values, F.sum)
 
 
-def player_stats_wide(player_stats: DataFrame, subroles: DataFrame, names: Sequence[str] = SUBROLES) -> DataFrame:
+def player_stats_wide(player_stats: DataFrame, subroles: DataFrame, names: Sequence[str] | None = SUBROLES) -> DataFrame:
     """The same at player grain: the player's own statistics stand under the player's subrole, zeros elsewhere."""
     players = wide_by_player(stats_with_subrole(player_stats, subroles, PLAYER_STATS), PLAYER_STATS)
     values = [slug(s) for s in PLAYER_STATS]
@@ -60,14 +60,14 @@ def player_stats_wide(player_stats: DataFrame, subroles: DataFrame, names: Seque
     return pivot_wide(kept, ids, "subrole_column", _subroles_with_missing(names), values, F.sum)
 
 
-def season(stage: str | Column = "stage") -> Column:
-    return first_contained(stage, SEASONS)
+def season(stage: str | Column = "stage", seasons: Sequence[str] = SEASONS) -> Column:
+    return first_contained(stage, seasons)
 
 
-def model_frame(results: DataFrame, stats: DataFrame, drop_draws: bool) -> DataFrame:
-    """Each map from both sides with that side's statistics, the outcome and the season."""
+def model_frame(results: DataFrame, stats: DataFrame, drop_draws: bool, seasons: Sequence[str] = SEASONS) -> DataFrame:
+    """Each map from both sides with that side's statistics, the outcome and the season (NULL outside ``seasons``)."""
     sides = results.select(*RESULT_COLUMNS).withColumn(
         "first_defender", other_side("first_attacker", "team_one_name", "team_two_name")
     )
     framed = two_sided(sides, stats, "map_id", "first_attacker", "first_defender", "map_winner", "team", drop_draws)
-    return framed.withColumn("year", season())
+    return framed.withColumn("year", season(seasons=seasons))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,10 @@ from .frames import model_frame
 SIDE = ["player_team", "opponent_team", "map_id", "win", "map_type", "first_attacker_flg", "year"]
 
 
-def side_players(results: DataFrame, subroles: DataFrame) -> DataFrame:
-    """One row per side of a decided map and player, all seasons at once."""
+def side_players(results: DataFrame, subroles: DataFrame, seasons: Sequence[str] = SEASONS) -> DataFrame:
+    """One row per side of a decided map and player, all ``seasons`` at once."""
     players = subroles.select("player", "map_id", "team", "map_type", "subrole")
-    framed = model_frame(results, players, drop_draws=True)
+    framed = model_frame(results, players, drop_draws=True, seasons=seasons)
     return framed.withColumn("player_role", paste("player", "subrole", sep="_")).where(F.col("year").isNotNull())
 
 
@@ -59,15 +61,16 @@ def player_scores(
     return equi_join(everyone, scores, ["players"], "left").na.fill(0.0, ["score"])
 
 
-def rate_seasons(results: DataFrame, subroles: DataFrame, tol: float = 1e-4) -> tuple[DataFrame, DataFrame]:
+def rate_seasons(
+    results: DataFrame, subroles: DataFrame, tol: float = 1e-4, seasons: Sequence[str] = SEASONS
+) -> tuple[DataFrame, DataFrame]:
     """(player scores, lineup scores) of all seasons that have decided maps; the frame is built once for all."""
-    sides = materialize(side_players(results, subroles))
+    sides = materialize(side_players(results, subroles, seasons))
     frame = materialize(lineup_frame(sides))
+    years = sorted(r[0] for r in frame.select("year").distinct().collect())
     players, lineups = [], []
-    for year in SEASONS:
+    for year in years:
         season = frame.where(F.col("year") == year)
-        if season.isEmpty():
-            continue
         rated = materialize(lineup_scores(season, tol))
         roles = sides.where(F.col("year") == year).select("player_role").distinct()
         lineups.append(rated.withColumn("year", F.lit(int(year))))
