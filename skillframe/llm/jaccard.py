@@ -12,11 +12,13 @@ asks for more common shingles.
    A longer prefix also lets it leave out its most common shingles: with m of them in the prefix, l - m of the others must match.
 3. Leaders: each document is verified against those of its postings that have the least of their own, as an unedited
    original has. Families of copies fall into one component in linear time.
-4. All remaining pairs: a document probes the postings for sets at least as large. Two members of the largest component of
-   a posting need no test, so the postings of a family are not paired with themselves.
-5. Candidates with enough matches are verified on whole sets: 100 * intersection >= 80 * union. Links form components.
+4. Families whose members lie around a leader but partly not near enough to link with it: the members not in its component are
+   compared with all others of the family in blocks, as products of 0/1 matrices, which return links only.
+5. All remaining pairs: a document probes the postings for sets at least as large, but for those of its own component or family.
+   Entries and probes of a posting's largest family do not even meet.
+6. Candidates with enough matches are verified on whole sets: 100 * intersection >= 80 * union. Links form components.
 
-Steps 3 and 4 only ever leave out pairs that are in one component already, so no component is lost.
+Only pairs that are in one component already, or compared already, are ever left out, so no component is lost.
 
 Defined cases: no words or no text: an empty set, linked with nothing; fewer than N words: one shingle, the whole; a row without id
 links through equal texts that have one, and has no component otherwise; repeated rows are copies; rows of one id with
@@ -41,6 +43,8 @@ N, SHARE = 5, 80
 #: Postings longer than this are left out where a longer prefix allows it; the cost of a verification in posting entries.
 COMMON, VERIFY = 64, 200
 LEADERS = 3
+#: A family needs so many members that share at least half of a union with their leader; block size of their comparison.
+FAMILY, BLOCK, COLUMNS = 32, 256, 4096
 _U = np.uint64
 
 
@@ -250,21 +254,73 @@ def _choices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        links = []
+        shared, union = [], []
         for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
             a, b = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
             small, large = (a, b) if len(a) <= len(b) else (b, a)
             at = np.minimum(np.searchsorted(large, small), len(large) - 1)
             both = int((large[at] == small).sum())
-            links.append(100 * both >= SHARE * (len(a) + len(b) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(links, pa.bool_())], ["a", "b", "link"])
+            shared.append(both)
+            union.append(len(a) + len(b) - both)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int32()), pa.array(union, pa.int32())], ["a", "b", "shared", "joint"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) that link. The sets travel once per pair, and never a whole group together."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with the sizes of intersection and union. A set travels once per pair, and never a whole group together."""
     left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left")), "a")
     rows = left.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right")), "b").select("a", "b", "left", "right")
-    return rows.mapInArrow(_overlaps, "a long, b long, link boolean").where("link").select("a", "b")
+    return rows.mapInArrow(_overlaps, "a long, b long, shared int, joint int")
+
+
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.where(F.col("shared") * 100 >= F.col("joint") * SHARE).select("a", "b")
+
+
+def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Linked pairs between two blocks of sets that are not in one component. The product goes by slices of columns."""
+    n, m = left.num_rows, right.num_rows
+    (a, row_a), (b, row_b) = _shingles(left), _shingles(right)
+    both = np.intersect1d(a, b)
+    at = np.searchsorted(both, a)
+    hit = both[np.minimum(at, len(both) - 1)] == a if len(both) else np.zeros(len(a), bool)
+    at_a, row_a = at[hit], row_a[hit]
+    at = np.searchsorted(both, b)
+    hit = both[np.minimum(at, len(both) - 1)] == b if len(both) else np.zeros(len(b), bool)
+    at_b, row_b = at[hit], row_b[hit]
+    order_a, order_b = np.argsort(at_a, kind="stable"), np.argsort(at_b, kind="stable")
+    at_a, row_a, at_b, row_b = at_a[order_a], row_a[order_a], at_b[order_b], row_b[order_b]
+    shared = np.zeros((n, m), np.float32)
+    for start in range(0, len(both), COLUMNS):
+        x, y = np.zeros((n, COLUMNS), np.float32), np.zeros((m, COLUMNS), np.float32)
+        part = slice(*np.searchsorted(at_a, [start, start + COLUMNS]))
+        x[row_a[part], at_a[part] - start] = 1
+        part = slice(*np.searchsorted(at_b, [start, start + COLUMNS]))
+        y[row_b[part], at_b[part] - start] = 1
+        shared += x @ y.T
+    size = left.column("n").to_numpy()[:, None] + right.column("n").to_numpy()[None, :]
+    differ = left.column("label").to_numpy()[:, None] != right.column("label").to_numpy()[None, :]
+    i, j = np.nonzero((100 * shared >= SHARE * (size - shared)) & differ)
+    return pa.table({"a": left.column("doc").take(pa.array(i)), "b": right.column("doc").take(pa.array(j))})
+
+
+def _family_links(members: DataFrame) -> DataFrame:
+    """members: doc, n, shingles, label, family, main (label of the family's leader). Links that the leader does not explain."""
+    outside = F.col("label") != F.col("main")
+    counts = members.groupBy("family").agg(F.count("*").alias("all"), F.count_if(outside).alias("open")).where(F.col("open") > 0)
+    dealt = members.join(counts, "family").withColumn("h", F.xxhash64("doc"))
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    own = lambda c: F.pmod("h", blocks(c)).cast("int")
+    kept = ["doc", "n", "shingles", "label", "family"]
+    fresh = lambda: [F.col(c).alias(c) for c in kept]  # noqa: E731  two sides of one lineage need columns of their own
+    left = dealt.where(outside).select(*fresh(), own("open").alias("i"), each("all").alias("j"))
+    right = dealt.select(*fresh(), own("all").alias("j"), each("open").alias("i"))
+
+    def compare(key: tuple[pa.Scalar, ...], one: pa.Table, other: pa.Table) -> pa.Table:
+        return _block_links(one, other)
+
+    keys = ["family", "i", "j"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
 
 
 def _fits(*supports: str) -> Column:
@@ -291,32 +347,48 @@ def link(base: DataFrame) -> DataFrame:
         "token", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"))
     led = (chosen.join(leaders, "token").where((F.col("doc") != F.col("b")) & _fits("s", "bs"))
            .groupBy(F.col("doc").alias("a"), "b").agg(F.count("*").alias("hits")))
-    best = Window.partitionBy("a").orderBy(F.desc("hits"), "b")
-    ranked = materialize(led.withColumn("k", F.row_number().over(best)).where(F.col("k") <= LEADERS))
-    links = materialize(_verified(ranked.where(F.col("k") == 1).select("a", "b"), sets))
+    # Among leaders with about as many hits the best known one comes first, so that a family agrees on its leader.
+    followers = led.groupBy("b").agg(F.count("*").alias("followers"))
+    top = led.join(followers, "b").withColumn("most", F.max("hits").over(Window.partitionBy("a")))
+    best = Window.partitionBy("a").orderBy(F.desc(F.col("hits") * 2 >= F.col("most")), F.desc("followers"), F.desc("hits"), "b")
+    ranked = materialize(top.withColumn("k", F.row_number().over(best)).where(F.col("k") <= LEADERS).select("a", "b", "k"))
+    led_by = materialize(_compared(ranked.where(F.col("k") == 1).select("a", "b"), sets))
+    links = materialize(_linked(led_by))
     for k in range(2, LEADERS + 1):
         # Only those that no leader has taken yet.
         left = ranked.where(F.col("k") == k).select("a", "b").join(links.select("a").distinct(), "a", "left_anti")
-        links = materialize(links.unionByName(_verified(left, sets)))
+        links = materialize(links.unionByName(_linked(_compared(left, sets))))
     label = components(links)
-    # Pairs across components: index entries and probes of a posting's largest component do not meet.
-    named = lambda t: t.join(label, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    # The smaller set probes, so it must share enough for a partner of its own size at least.
-    entries, probes = named(index), named(chosen.where(F.col("n") * (2 * SHARE) <= F.col("s") * (100 + SHARE)))
-    largest = entries.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"))
-    open_tokens = materialize(largest.where(F.col("labels") > 1).select("token", "main"))
+    # Families: documents around a leader, near enough to it that two of them may link. Nearer than half of the union is ample.
+    around = led_by.where(F.col("shared") * 2 >= F.col("joint")).select(F.col("a").alias("doc"), F.col("b").alias("family"))
+    large = around.groupBy("family").count().where(F.col("count") >= FAMILY).select("family")
+    around = around.join(large, "family").join(large.select(F.col("family").alias("doc")), "doc", "left_anti").unionByName(
+        large.select(F.col("family").alias("doc"), "family"))
+    named = materialize(
+        known.select("doc", "n").distinct().join(label, "doc", "left").join(around, "doc", "left")
+        .select("doc", "n", F.coalesce("label", "doc").alias("label"), F.coalesce("family", "doc").alias("family")))
+    mains = named.where(F.col("doc") == F.col("family")).select("family", F.col("label").alias("main"))
+    members = named.join(large, "family").join(mains, "family").join(sets, "doc")
+    links = materialize(links.unionByName(_family_links(members)))
+    # All other pairs, by the postings. The smaller set probes, so it must share enough for a partner of its own size at least.
+    placed = named.select("doc", "label", "family").distinct()
+    entries, probes = (t.join(placed, "doc") for t in (index, chosen.where(F.col("n") * (2 * SHARE) <= F.col("s") * (100 + SHARE))))
+    one_of = lambda c: entries.groupBy("token", c).count().groupBy("token").agg(F.max_by(c, F.struct("count", c)).alias("main"), F.count("*").alias("several"))
+    # Postings within one component hold nothing new.
+    open_tokens = materialize(
+        one_of("family").select("token", "main").join(one_of("label").where(F.col("several") > 1).select("token"), "token"))
     entries = entries.join(open_tokens, "token").select(
-        "token", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), "rank", F.col("label").alias("bl"), "main")
+        "token", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), "rank", F.col("label").alias("bl"), F.col("family").alias("bf"), "main")
     probes = probes.join(open_tokens, "token").select(
-        "token", F.col("doc").alias("a"), "n", "s", "prefix", "asked", F.col("label").alias("al"), F.col("main").alias("amain"))
+        "token", F.col("doc").alias("a"), "n", "s", "prefix", "asked", F.col("label").alias("al"), F.col("family").alias("af"), F.col("main").alias("amain"))
     allowed = F.col("rank") < F.col("bn") - F.floor((F.col("bn") * SHARE + 99) / 100) + F.col("prefix")
     larger = (F.col("bn") > F.col("n")) | ((F.col("bn") == F.col("n")) & (F.col("b") > F.col("a")))
-    cross = allowed & larger & _fits("s", "bs") & (F.col("al") != F.col("bl"))
-    outer = probes.where(F.col("al") != F.col("amain")).join(entries, "token").where(cross)
-    inner = probes.where(F.col("al") == F.col("amain")).join(entries.where(F.col("bl") != F.col("main")), "token").where(cross)
+    cross = allowed & larger & _fits("s", "bs") & (F.col("al") != F.col("bl")) & (F.col("af") != F.col("bf"))
+    outer = probes.where(F.col("af") != F.col("amain")).join(entries, "token").where(cross)
+    inner = probes.where(F.col("af") == F.col("amain")).join(entries.where(F.col("bf") != F.col("main")), "token").where(cross)
     keep = ["a", "b", "asked"]
     pairs = outer.select(*keep).unionByName(inner.select(*keep)).groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("asked").alias("asked"))
-    rest = materialize(_verified(pairs.where(F.col("hits") >= F.col("asked")).select("a", "b"), sets))
+    rest = materialize(_linked(_compared(pairs.where(F.col("hits") >= F.col("asked")).select("a", "b"), sets)))
     return links.unionByName(rest)
 
 

@@ -120,8 +120,11 @@ def expected_components(rows):
 
 def test_near_duplicates_equal_brute_force(rows, docs, small_groups, monkeypatch):
     want = expected_components(rows)
-    for common in (64, 3):  # 3: most shingles of the family count as common and are left out where they can be
+    # 3: most shingles of the family count as common and are left out where they can be. 4, 5: families in small blocks.
+    for common, family, block in ((64, 32, 256), (3, 4, 5)):
         monkeypatch.setattr(jaccard, "COMMON", common)
+        monkeypatch.setattr(jaccard, "FAMILY", family)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
         got = {r["doc"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
         assert got == want
 
