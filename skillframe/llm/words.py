@@ -35,7 +35,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(_ROOT))
-_powers: dict[int, np.ndarray] = {}
+
+
+class _Powers(dict):
+    """Tables made so far; each worker makes its own."""
+
+    def __reduce__(self) -> tuple:
+        return _Powers, ()
+
+
+_powers = _Powers()
 
 
 def powers(root: int, n: int) -> np.ndarray:
