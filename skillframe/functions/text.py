@@ -31,12 +31,27 @@ def url_basename(c: Column | str, prefix: str = "data/") -> Column:
     return F.when(segment != "", F.concat(F.lit(prefix), segment)).when(segment == "", F.lit(""))
 
 
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+#: An anchor up to the value of its first href: other attributes are passed over whole.
+_HREF = rf"""(?is)<a(?=[\s/])(?:[\s/]*(?!href[\s=])[^\s=>"'/]+(?:\s*=\s*{_VALUE})?)*+[\s/]*href\s*=\s*({_VALUE})"""
+#: Character references in attribute values, the ampersand last.
+_REFERENCES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&"))
+
+
 def hrefs(c: Column | str, container: str | None = None) -> Column:
-    """All ``href`` targets of the anchors in an HTML text, in order.
+    """All ``href`` targets of the anchors in an HTML text, in order, however they are quoted or spaced, references decoded.
 
     ``container`` is a regular expression with one group; only the text it captures is searched.
     """
     c = as_col(c)
     if container is not None:
         c = F.regexp_extract(c, container, 1)
-    return F.regexp_extract_all(c, F.lit(r'<a [^>]*href="([^"]*)"'), F.lit(1))
+
+    def value(raw: Column) -> Column:
+        quoted = raw.startswith('"') | raw.startswith("'")
+        out = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+        for reference, text in _REFERENCES:
+            out = F.replace(out, F.lit(reference), F.lit(text))
+        return F.btrim(out, F.lit(" \t\n\r\x0c"))
+
+    return F.transform(F.regexp_extract_all(c, F.lit(_HREF), F.lit(1)), value)

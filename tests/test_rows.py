@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from skillframe.functions.text import hrefs
 from skillframe.models.design import Term
 from skillframe.models.glm import fit_logit, fit_logit_by
 from skillframe.models.mixed import fit_crossed_logit
@@ -76,3 +77,14 @@ def test_estimated_variances_of_planted_effects(spark):
         assert abs(value + other) < 1e-2 * deviation
     one, two = tight.variances.values()
     assert one == pytest.approx(two, rel=1e-2)
+
+
+def test_links_in_all_forms(spark):
+    page = """<A class=x HREF='a.html'>1</A><a href="b.html?x=1&amp;y=&quot;2&quot;">2</a><a
+      data-href="no" title='t'
+      href = c.html>3</a><a name="n">4</a><abbr href="no">5</abbr><a href=' d '>6</a><a title="href=no" id=1 href="">7</a>"""
+    rows = spark.createDataFrame([(page,), (None,), ("",)], "html string")
+    got = [r["l"] for r in rows.select(hrefs("html").alias("l")).collect()]
+    assert got == [["a.html", 'b.html?x=1&y="2"', "c.html", "d", ""], None, []]
+    inside = rows.select(hrefs("html", r"(?s)<abbr(.*)").alias("l")).first()["l"]
+    assert inside == ["d", ""]
