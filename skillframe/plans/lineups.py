@@ -31,9 +31,14 @@ def side_players(results: DataFrame, subroles: DataFrame, seasons: Sequence[str]
 def lineup_frame(sides: DataFrame) -> DataFrame:
     """One row per side and map with its lineup, paired with the opponent's lineup on the same map."""
     lineups = ordered_concat(sides, SIDE, "player_role", ["player ASC NULLS LAST", "player_role"], ";", "lineup")
-    opponents = lineups.select("map_id", "player_team", "year", "lineup")
-    on = {"map_id": "map_id", "opponent_team": "player_team", "year": "year"}
-    return equi_join(lineups, opponents, on, suffix="_opponent")
+    # A map has two sides, so its lineups meet in one short array instead of a join of the table with itself.
+    own = [c for c in lineups.columns if c not in ("map_id", "year")]
+    sides_of = lineups.groupBy("map_id", "year").agg(F.collect_list(F.struct(*own)).alias("sides"))
+    each = sides_of.select("map_id", "year", "sides", F.explode("sides").alias("a"))
+    against = F.filter("sides", lambda b: b["player_team"].eqNullSafe(F.col("a.opponent_team")))
+    return each.select(
+        *[F.col(c) if c in ("map_id", "year") else F.col(f"a.{c}") for c in lineups.columns], F.explode(against).alias("b")
+    ).select(*lineups.columns, F.col("b.lineup").alias("lineup_opponent"))
 
 
 def lineup_scores(frame: DataFrame, tol: float = 1e-4) -> DataFrame:
