@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from .cg import ridge_paths
 
 #: Members up to which the cross products of all folds are solved on the driver.
 MAX_DENSE = 400
+#: Groups that partial sums are first added in.
+TREE = 32
 #: Penalties tried by default: ten to the power 3, 2.9, ... -2.
 LAMBDAS = [10 ** (3 - k / 10) for k in range(51)]
 
@@ -134,9 +137,10 @@ def _fold_sums(members: DataFrame, targets: DataFrame, roles: list[str], folds:
         total = np.zeros((folds, p + 2, p + 2))
         for batch in batches:
             x = np.zeros((len(batch), p + 2))
-            for n, ks in enumerate(batch["ks"]):
-                if ks is not None:
-                    x[n, np.asarray(ks, dtype=int)] = 1.0
+            listed = batch["ks"][batch["ks"].notna()]
+            if len(listed):
+                at = np.repeat(batch["ks"].notna().to_numpy().nonzero()[0], listed.map(len))
+                x[at, np.concatenate(listed.to_numpy()).astype(int)] = 1.0
             x[:, p] = batch["y"]
             x[:, p + 1] = 1.0
             w = batch["w"].to_numpy()
@@ -145,15 +149,20 @@ def _fold_sums(members: DataFrame, targets: DataFrame, roles: list[str], folds:
                 here = batch["fold"].to_numpy() == k
                 total[k] += x[here].T @ (x[here] * w[here, None])
                 total[k, p, p] += spread[here].sum()
-        f, i, j = np.nonzero(total)
-        yield pd.DataFrame(
-            {"f": f.astype("int32"), "i": i.astype("int32"), "j": j.astype("int32"), "v": total[f, i, j]}
-        )
+        used = np.flatnonzero(total.any(axis=(1, 2)))
+        part = TaskContext.get().partitionId() % TREE if TaskContext.get() else 0
+        yield pd.DataFrame({"f": used.astype("int32"), "part": np.full(len(used), part, "int32"), "v": [total[k].tobytes() for k in used]})
 
-    sums = rows.mapInPandas(partial, "f int, i int, j int, v double").groupBy("f", "i", "j").agg(F.sum("v").alias("v"))
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(v) for v in rows["v"]], axis=0)
+        return pd.DataFrame({"f": rows["f"].iloc[:1], "part": rows["part"].iloc[:1], "v": [total.tobytes()]})
+
+    # One matrix per task and fold, added in two levels.
+    schema = "f int, part int, v binary"
+    sums = rows.mapInPandas(partial, schema).groupBy("f", "part").applyInPandas(add, schema).groupBy("f").applyInPandas(add, schema)
     out = np.zeros((folds, p + 2, p + 2))
-    for row in sums.toLocalIterator():
-        out[row["f"], row["i"], row["j"]] = row["v"]
+    for row in sums.collect():  # one matrix per fold
+        out[row["f"]] = np.frombuffer(row["v"]).reshape(p + 2, p + 2)
     return FoldSums(roles, out)
 
 
