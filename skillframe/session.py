@@ -63,15 +63,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and gives the optimizer the real size of the result, so that a
-    later join broadcasts it only when it is small. The files stay until the enclosing ``scratch`` block ends; without
+    later join broadcasts it only when it is small. codec: of the files, else the session's. The files stay until the enclosing ``scratch`` block ends; without
     one they belong to the application's folder.
     """
     spark = df.sparkSession
     folder = _scope.get() or spark.sparkContext.applicationId
     path = f"{shared_dir(spark)}/skillframe/{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -275,6 +275,43 @@ def test_language_model_counts(spark, rows, docs, small_groups):
         assert r["score"] < 0 and math.isfinite(r["score"])
 
 
+def test_language_model_learns_from_the_whole_corpus(docs, rows, monkeypatch):
+    """A score hangs on the text and the learning documents, not on the group or on held-out rows beside it."""
+    from skillframe.llm import groups
+
+    frame = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+    scores = lambda x: {r["doc"]: r["score"] for r in lm.score(x).collect()}
+    one_group = scores(frame)
+    more = frame.where("not held_out").select((F.col("doc_id") + 5000).alias("doc_id"), *(c for c in frame.columns if c not in ("doc_id", "held_out")), F.lit(True).alias("held_out"))
+    monkeypatch.setattr(groups, "GROUP_BYTES", 4000)
+    many = scores(frame.unionByName(more))
+    assert len(many) > len(one_group) == len(rows)
+    assert {d: many[d] for d in one_group} == pytest.approx(one_group, rel=1e-9)
+
+
+def test_language_model_leaves_a_documents_own_outcomes_out():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(6)
+
+    def texts(which):
+        some = [(i, *v) for i, v in enumerate(given) if i in which]
+        n = np.array([len(v[1]) for v in some])
+        planes = {c: x for k, name in enumerate(lm._WIDE) for c, x in lm._bytes(name, np.concatenate([v[k + 1] for v in some]), n).items()}
+        return lm._Texts(pa.table({"held_out": [False] * len(some), "fold": [v[0] % lm.FOLDS for v in some], "n_tokens": n} | planes), lm._Corpus(5000, 300, 4))
+
+    given = []
+    for _ in range(4):
+        own, seen = draw.integers(1, 9, 90), draw.integers(0, 9, 90)
+        given.append((own + draw.integers(0, 500, 90), draw.integers(0, 40, 90), own, seen, draw.integers(0, 20, 90)))
+    everything, one, others = texts({0, 1, 2, 3}), texts({2}), texts({0, 1, 3})
+    n, ones = everything.outcomes()
+    n_others, ones_others = others.outcomes()
+    one.learned = np.zeros(90, bool)
+    for k in (0, 1):
+        assert everything._odds(k, n, ones)[180:270] == pytest.approx(one._odds(k, n_others, ones_others))
+
+
 def test_language_model_beats_single_words_on_held_out_rows(spark):
     from skillframe.llm.queries import QUERIES
 
