@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 _TAG = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
     r"""(?P<rest>(?>[^>"']|(?<==)"[^"]*"|(?<==)'[^']*'|(?<==\s)"[^"]*"|["'])*+)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|itemprop|aria-hidden|hidden|aria-label)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A whole name and its value; a value's text is passed over, so that it is never taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
 _TOKEN = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
 
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math"}
@@ -55,6 +56,10 @@ promoted banner banners cookie cookies consent gdpr notice notices sidebar sideb
 breadcrumbs crumbs footer masthead topbar toolbar comment comments commentlist disqus replies respond reviews share sharing social
 related recommended recommendations newsletter subscribe subscription signup login popup modal overlay widget widgets pagination pager
 paging skip copyright legal disclaimer outbrain taboola teaser teasers trending search paywall alert byline feedback""".split())
+#: Furniture that is made of texts like the main one, which only <main> inside it tells apart; words of wrappers of the whole page.
+_OTHER_TEXTS = set("""comment comments commentlist disqus replies respond reviews related recommended recommendations teaser teasers trending
+promo promos promoted promotion sponsor sponsored sponsors outbrain taboola""".split())
+_WRAPPERS = set("content main page wrap wrapper layout container site grid columns body article".split())
 _HEADER_NAMES = {"header", "head", "top"}
 _ABOUT = {"has", "with", "no", "without", "is", "js"}
 _GOOD_NAMES = set("article articlebody post entry story content main body text prose".split())
@@ -62,29 +67,33 @@ _HARD = -1e9
 
 
 class _Element:
-    """An open element: its name, what the blocks inside it inherit, and the section they belong to."""
+    """An open element: its name, what the blocks inside it inherit, the section they belong to, and what lifts its furniture cost."""
 
-    __slots__ = ("name", "cost", "article", "section")
+    __slots__ = ("name", "cost", "article", "section", "hold")
 
-    def __init__(self, name: str, cost: float, article: bool, section: int):
-        self.name, self.cost, self.article, self.section = name, cost, article, section
+    def __init__(self, name: str, cost: float, article: bool, section: int, hold: int):
+        self.name, self.cost, self.article, self.section, self.hold = name, cost, article, section, hold
 
 
-def _named(rest: str) -> tuple[float, bool]:
-    """What an element's attributes say: cost, whether they name the main text."""
-    cost, good = 0.0, False
+def _named(rest: str) -> tuple[float, int, int]:
+    """What an element's attributes say: cost; whether they name the main text (1: a class or id, 2: an article, 3: main); the least
+    such number that does not lift the cost from what is inside (0: a wrapper's, 1: other furniture's, 2: other texts')."""
+    cost, good, hold, seen = 0.0, 0, 0, set()
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), entities.unescape(next((v for v in values if v), "")).lower()
+        if key in seen:  # the first of a name counts
+            continue
+        seen.add(key)
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return _HARD, False
+            return _HARD, 0, 0
         if key == "role":
             if value in _NEVER_ROLES:
-                return _HARD, False
-            good |= value in ("main", "article")
+                return _HARD, 0, 0
+            good = max(good, {"main": 3, "article": 2}.get(value, 0))
         elif key == "itemprop":
-            good |= value == "articlebody"
+            good = max(good, 2 * (value == "articlebody"))
             if value == "comment":
-                cost = _FURNITURE
+                cost, hold = _FURNITURE, 2
         elif key in ("class", "id"):
             for name in value.split():
                 parts = _TOKEN.findall(name)
@@ -92,16 +101,17 @@ def _named(rest: str) -> tuple[float, bool]:
                     continue
                 if not _BAD_NAMES.isdisjoint(parts) or name in _BAD_NAMES:
                     cost = _FURNITURE
+                    hold = max(hold, 2 if not _OTHER_TEXTS.isdisjoint(parts) else 0 if not _WRAPPERS.isdisjoint(parts) else 1)
                 elif not _HEADER_NAMES.isdisjoint(parts) and len(parts) == 1:
                     cost = min(cost, _HEADER)
-                good |= not _GOOD_NAMES.isdisjoint(parts)
-    return cost, good and not cost
+                good = max(good, 0 if _GOOD_NAMES.isdisjoint(parts) else 1)
+    return cost, 0 if cost else good, hold
 
 
 def blocks(page: str) -> list[tuple[str, float, int]]:
     """(text, cost, section) of each block in page order; the cost is the classifier's, below 0 for boilerplate."""
     found: list[tuple[str, float, int]] = []
-    stack = [_Element("", 0.0, False, 0)]
+    stack = [_Element("", 0.0, False, 0, 0)]
     pieces: list[str] = []
     owner: _Element | None = None
     block_name, linked, links, sections = "", 0, 0, 0
@@ -116,9 +126,12 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
 
     def add(text: str) -> None:
         nonlocal owner, block_name, linked
-        if owner is None and not text.isspace():
-            owner = stack[-1]
-            block_name = next((e.name for e in reversed(stack) if e.name in _BLOCK), "")
+        block = next((e for e in reversed(stack) if e.name in _BLOCK), stack[0])
+        if stack[-1].cost <= _HARD < block.cost:  # an inline element that is not shown
+            return
+        # Inline elements speak for a block only if they hold all of its text.
+        if not text.isspace() and (owner is None or stack[-1].cost > owner.cost):
+            owner, block_name = stack[-1], block.name
         pieces.append(text)
         if links:
             linked += len(text)
@@ -177,16 +190,21 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
                 if stack[i].name in _SECTIONS:
                     break
         rest, up = found_tag["rest"], stack[-1]
-        cost, good = _named(rest) if rest and not rest.isspace() else (0.0, False)
+        cost, good, hold = _named(rest) if rest and not rest.isspace() else (0.0, 0, 0)
         if name in _NEVER:
             cost = _HARD
         elif name == "header":
             cost = min(cost, _HEADER)
         if name in _SECTIONS:
             sections += 1
-        inside = up.article or name in ("article", "main") or good and name != "body"
+        inside = up.article or name in ("article", "main") or good > 0 and name != "body"
         body = name in ("html", "body")
-        stack.append(_Element(name, up.cost if body else min(up.cost, cost), up.article if body else inside, sections if name in _SECTIONS else up.section))
+        if not cost:
+            good = max(good, {"main": 3, "article": 2}.get(name, 0))
+        lifted = _HARD < up.cost <= _FURNITURE and good > up.hold and name in _BLOCK
+        inherited = 0.0 if lifted else up.cost
+        stack.append(_Element(name, up.cost if body else min(inherited, cost), up.article if body else inside, sections if name in _SECTIONS else up.section,
+                              up.hold if body else max(0 if lifted else up.hold, hold)))
         links += name == "a"
     flush()
     return found

@@ -169,6 +169,26 @@ def test_page_blocks():
     assert html.main_text(PAGE) == "\n\n".join(want)
 
 
+SAID = "Ten or more words that stand in the article and are its own text."
+
+
+@pytest.mark.parametrize("page", [
+    '<article><p><a href="/the-hidden-lake">Ten</a>{rest}</p></article>', '<article><p><a title="The hidden truth" class="share">Ten</a>{rest}</p></article>',
+    '<article data-hidden="false"><p>{said}</p></article>', '<article><p><a href="/x?id=comments">Ten</a>{rest}</p></article>',
+    "<article><p title='a hidden b' data-role=navigation>{said}</p></article>", '<article><p><span hidden>Not this.</span>{said}</p></article>',
+    '<div class="content-sidebar-wrap"><main><p>{said}</p></main></div>', '<div class="page-with-sidebar"><div class="entry-content"><p>{said}</p></div></div>',
+    '<div class="sidebar-left"><article><p>{said}</p></article></div>'])
+def test_labels_match_whole_names_and_wrappers_are_lifted(page):
+    assert html.main_text(page.format(said=SAID, rest=SAID[3:])) == SAID
+
+
+@pytest.mark.parametrize("page", [
+    "<article hidden><p>{said}</p></article>", "<article><p class=x HIDDEN=''>{said}</p></article>", '<article><div class="comments"><article><p>{said}</p></article></div></article>',
+    '<div class="sidebar"><div class="content"><p>{said}</p></div></div>', '<nav><main-menu><p>{said}</p></main-menu></nav>', '<article><p><a class="share">{said}</a></p></article>'])
+def test_furniture_stays_out(page):
+    assert html.main_text(page.format(said=SAID)) == ""
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</p>", "<a href='", "&#x;", "<p>" * 3000, "<nav>x</nav>", "<![CDATA["])
 def test_odd_pages_have_no_text(page):
     assert html.main_text(page) == ""
