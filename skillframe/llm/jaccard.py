@@ -144,7 +144,7 @@ def _base(table: pa.Table, elsewhere: np.ndarray, smallest: np.ndarray, buckets:
     full = sizes > 0
     rep[full] = smallest[np.searchsorted(known, text[full])]
     lists = np.zeros(len(sizes), bool)
-    lists[first] = doc[first] == smallest
+    lists[first] = (doc[first] == smallest) & (smallest != groups.NO_ID)  # a text that no id has links with nothing
     rank, use = _prefix(rows, sizes)
     once = np.zeros(len(sizes), bool)
     once[first] = True

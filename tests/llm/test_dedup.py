@@ -139,6 +139,16 @@ def test_near_duplicates_of_odd_rows(spark, no_docs):
     assert sorted(str(r["doc_id"]) for r in jaccard.keep_first(odd).collect()) == ["4", "4", "8", "9", "None"]
 
 
+def test_near_copies_without_id_are_not_listed(spark):
+    words, big = [f"w{i}" for i in range(60)], 2**53 + 1
+    near = lambda k: " ".join([*words, f"x{k}"])
+    rows = [(None, near(0), "", "", 0, "", ""), (None, near(1), "", "", 0, "", ""), (big, near(2), "", "", 0, "", ""), (big + 2, near(3), "", "", 0, "", "")]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = sorted((str(r["doc"]), r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect())
+    assert got == [(str(big), 57, big), (str(big + 2), 57, big), ("None", 57, None), ("None", 57, None)]
+    assert sorted(str(r["doc_id"]) for r in jaccard.keep_first(docs).collect()) == [str(big), "None", "None"]
+
+
 def test_prefix_choice_skips_common_shingles():
     import numpy as np
 
