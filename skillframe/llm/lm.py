@@ -8,8 +8,8 @@ recent outcomes with the place in the text. Their log-odds are added with weight
 weights are refined along the text, chunk by chunk, by the gradient of the coded length. The mixture is normalised, so the
 summed log2 is a code length; it is also given as bits per byte.
 
-All that is learned comes from all documents that may be learned from, and a document that is learned from is scored as if
-held out. Counts of words and bigrams are exchanged by groups of documents (see ``groups``): exact 64-bit keys for words,
+All that is learned comes from all documents that may be learned from; one that is learned from is scored without its own bigrams
+and outcomes, but single words count it. Counts of words and bigrams are exchanged by groups of documents (see ``groups``): exact 64-bit keys for words,
 shortened keys for bigrams, of which about one in two thousand may be taken for another. What a document needs of them is
 written once, then read three times, document by document:
 
