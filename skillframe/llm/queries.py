@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import chat, html, jaccard, lines, lm, mixing, quality, substrings, topk, winnow
+from . import chat, html, jaccard, lines, lm, merkle, mixing, quality, substrings, tokens, topk, trie, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,6 +218,98 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored) WHERE rank <= 10
 """
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = tokens.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    found = tokens.count_tokens(table(spark, sf_dir, "documents"), pieces)
+    return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = trie.sequences(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.branched(said, 5, 9))
+
+
+OP12_SQL = r"""
+WITH said AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS v FROM said GROUP BY c),
+hashed AS (
+  SELECT c, v, (4294967295 - list_reduce(list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i::INT, 1))::BIGINT),
+         lambda s, b: list_reduce(range(8), lambda t, i: xor(t >> 1, 3988292384 * (t & 1)), xor(s, b)), 4294967295::BIGINT)) % 9 AS h FROM own),
+built AS (
+  SELECT o.c, list_concat(coalesce(b.v, [])[1 : o.h], o.v[o.h + 1 :]) AS v FROM hashed o LEFT JOIN own b ON b.c = o.c - o.c % 5),
+nodes AS (
+  SELECT depth, v[1 : depth] AS p, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE depth = len(v)), '')) AS ends_sha256
+  FROM (SELECT c, v, unnest(range(0, len(v) + 1)) AS depth FROM built) GROUP BY ALL),
+kids AS (SELECT p[1 : depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+own_sums AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(p[depth].text) END AS saved
+  FROM nodes LEFT JOIN kids USING (p)),
+below AS (
+  SELECT p[1 : k] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM own_sums) GROUP BY 1)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM own_sums n JOIN below USING (p) LEFT JOIN nodes u ON n.depth > 0 AND u.p = n.p[1 : n.depth - 1]
+"""
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = ["doc_id", "source", "lang", "n_chars"]
+    text, even = F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    # What storage gives back: in every second row by id the line ends are lost.
+    given_back = F.when(F.coalesce(even, F.lit(False)), F.translate(text, "\n", "")).otherwise(text)
+    leaves = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("doc"), "source", merkle.leaf_of(*map(F.col, named), text).alias("leaf"),
+        merkle.leaf_of(*map(F.col, named), given_back).alias("seen"))
+    return merkle.audit(leaves).withColumnRenamed("doc", "doc_id")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text, concat_ws('', CASE WHEN doc_id IS NULL THEN '-' ELSE length(doc_id::VARCHAR) || ':' || doc_id END,
+         CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END, CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+         CASE WHEN n_chars IS NULL THEN '-' ELSE length(n_chars::VARCHAR) || ':' || n_chars END) AS head,
+         CASE WHEN ((list_reduce(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT),
+         lambda s, b: list_reduce(range(8), lambda t, i: xor(t >> 1, 3988292384 * (t & 1)), xor(s, b)), 4294967295::BIGINT)) & 1) = 1
+         THEN replace(text, chr(10), '') ELSE text END AS seen_text
+  FROM documents),
+leafs AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(seen_text) || ':' || seen_text, '-')) AS seen FROM fields),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY tree) AS n,
+         row_number() OVER () AS row FROM leafs),
+lv(tree, k, i, d, n) AS (
+  SELECT tree, 0, r, leaf, n FROM ranked
+  UNION ALL SELECT tree, k + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (n + 2) // 3 FROM lv WHERE n > 1 GROUP BY tree, k, n, i // 3),
+subroots AS (SELECT tree, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS r, count(*) OVER () AS n FROM lv WHERE n = 1),
+up(k, i, d, n) AS (
+  SELECT 0, r, subroot, n FROM subroots
+  UNION ALL SELECT k + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY k, n, i // 3),
+steps AS (
+  SELECT x.row, l.k, 0 AS part, string_agg(l.d, '' ORDER BY l.i) FILTER (WHERE l.i < x.r // (3 ** l.k)::BIGINT) AS before,
+         string_agg(l.d, '' ORDER BY l.i) FILTER (WHERE l.i > x.r // (3 ** l.k)::BIGINT) AS after
+  FROM ranked x JOIN lv l ON l.tree = x.tree AND l.n > 1 AND l.i // 3 = (x.r // (3 ** l.k)::BIGINT) // 3 GROUP BY x.row, x.r, l.k
+  UNION ALL
+  SELECT x.row, l.k, 1, string_agg(l.d, '' ORDER BY l.i) FILTER (WHERE l.i < s.r // (3 ** l.k)::BIGINT),
+         string_agg(l.d, '' ORDER BY l.i) FILTER (WHERE l.i > s.r // (3 ** l.k)::BIGINT)
+  FROM ranked x JOIN subroots s USING (tree) JOIN up l ON l.n > 1 AND l.i // 3 = (s.r // (3 ** l.k)::BIGINT) // 3 GROUP BY x.row, s.r, l.k),
+listed AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY part, k) AS step FROM steps),
+proofs AS (SELECT row, sha256(string_agg(coalesce(before, '') || coalesce(after, ''), '' ORDER BY step)) AS proof_sha256 FROM listed GROUP BY row),
+folding(row, step, d) AS (
+  SELECT row, 0, seen FROM ranked
+  UNION ALL SELECT f.row, l.step, sha256(coalesce(l.before, '') || f.d || coalesce(l.after, ''))
+  FROM folding f JOIN listed l ON l.row = f.row AND l.step = f.step + 1),
+folded AS (SELECT row, arg_max(d, step) AS folded_root FROM folding GROUP BY row)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM ranked JOIN (SELECT tree, subroot FROM subroots) USING (tree) JOIN folded USING (row) LEFT JOIN proofs USING (row)
+CROSS JOIN (SELECT d AS root FROM up WHERE n = 1)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -229,6 +321,9 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_topk_search": op10_topk_search,
+    "op11_token_counts": op11_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
@@ -237,4 +332,6 @@ ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op10_topk_search": OP10_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }

@@ -23,7 +23,7 @@ def test_all_are_registered():
     import __spark_entry__ as entry
 
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_equals_plain_python(spark, tmp_path):
