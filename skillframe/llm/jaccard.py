@@ -1,13 +1,14 @@
 """Near-duplicate documents: an exact Jaccard join on word n-grams with adaptive multi-match prefixes.
 
-A document's set is its distinct ``N``-word shingles as 64-bit hashes, ordered by hash. If two sets link, the prefixes that
+A document's set is its distinct ``N``-word shingles as 64-bit hashes, in one order for all sets. If two sets link, the prefixes that
 leave out all but ``l - 1`` of the shingles they must share have at least l shingles in common, for every l. So a longer prefix
 asks for more common shingles.
 
-1. Equal texts are collapsed to the smallest id. Groups of documents send the shingles of their longest prefixes and learn which
-   occur elsewhere; a document with too few of them has no partner. Only what is left is listed as postings.
-   Among those left, the shingles of whole sets are counted the same way: what a set shares with any other bounds what it
-   shares with one, so a pair whose sizes ask for more is not a candidate.
+1. Equal texts are collapsed to the smallest id. Groups of documents send the shingles of their longest prefixes, ordered by hash,
+   and learn which occur elsewhere; a document with too few of them has no partner.
+   Among those left, the documents of every shingle are counted the same way: what a set shares with any other bounds what it
+   shares with one, so a pair whose sizes ask for more is not a candidate. From here on sets are ordered by these counts, so
+   that prefixes hold the rarest shingles, and what many documents share stays out of the postings wherever it may.
 2. Each document chooses its l by the estimated cost of its candidates (posting lengths, and verifications, which fall with l).
    A longer prefix also lets it leave out its most common shingles: with m of them in the prefix, l - m of the others must match.
 3. Leaders: each document is verified against those of its postings that have the least of their own, as an unedited
@@ -132,7 +133,7 @@ def _smallest(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray]:
     return (least[at],)
 
 
-_BASE = "doc long, n int, rep long, tokens binary, ranks binary, shingles binary"
+_BASE = "doc long, n int, rep long, shingles binary"
 
 
 def _base(table: pa.Table, elsewhere: np.ndarray, smallest: np.ndarray, buckets: int) -> pa.Table:
@@ -145,7 +146,7 @@ def _base(table: pa.Table, elsewhere: np.ndarray, smallest: np.ndarray, buckets:
     rep[full] = smallest[np.searchsorted(known, text[full])]
     lists = np.zeros(len(sizes), bool)
     lists[first] = (doc[first] == smallest) & (smallest != groups.NO_ID)  # a text that no id has links with nothing
-    rank, use = _prefix(rows, sizes)
+    _, use = _prefix(rows, sizes)
     once = np.zeros(len(sizes), bool)
     once[first] = True
     keys = groups.shortened(values, buckets)
@@ -171,7 +172,6 @@ def _base(table: pa.Table, elsewhere: np.ndarray, smallest: np.ndarray, buckets:
 
     return pa.table({
         "doc": table.column("doc"), "n": pa.array(sizes.astype(np.int32)), "rep": pa.array(rep, mask=rep == groups.NO_ID),
-        "tokens": binary(values[at], rows[at]), "ranks": binary(rank[at].astype(np.int32), rows[at]),
         "shingles": binary(values[whole_sets], rows[whole_sets])})
 
 
@@ -182,7 +182,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, counts = groups.joined(table.column("tokens"), np.int64)
             ranks, _ = groups.joined(table.column("ranks"), np.int32)
             repeat = lambda c: np.repeat(table.column(c).to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(repeat("doc")), pa.array(repeat("n")), pa.array(ranks)], ["token", "doc", "n", "rank"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), *(pa.array(repeat(c)) for c in ("doc", "n", "s")), pa.array(ranks)], ["token", "doc", "n", "s", "rank"])
 
 
 def choose(n: int, rank: np.ndarray, length: np.ndarray) -> tuple[int, int, bool]:
@@ -209,26 +209,43 @@ def _shingles(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return values, np.repeat(np.arange(table.num_rows), counts)
 
 
+def _together(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray]:
+    _, at = np.unique(keys, return_inverse=True)
+    return (np.bincount(at, weights=docs)[at].astype(np.uint32) if len(keys) else docs,)
+
+
 def support(listed: DataFrame) -> DataFrame:
-    """doc, n, s: how many of a listed document's n shingles another listed document has too."""
+    """doc, n, s: how many of a listed document's n shingles another listed document has too; and its longest prefix, rarest first.
+
+    tokens, ranks: the prefix's shingles that others have, and their places in the set's order.
+    """
     size = listed.select(F.sum("n").alias("n")).first()["n"] or 0
     n_groups, buckets = 1 + 8 * size // groups.GROUP_BYTES, 1 + 6 * size // groups.BUCKET_BYTES
     dealt = listed.select(F.pmod(F.xxhash64("doc"), F.lit(n_groups)).cast("int").alias("g"), "doc", "n", "shingles")
 
     def ask(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(groups.shortened(_shingles(table)[0], buckets), return_counts=True)
-        return keys, (counts > 1).astype(np.uint8)
+        return keys, counts.astype(np.uint32)
 
     asked = groups.send(groups.Dealt(dealt, n_groups, buckets), ask, 1, short=True)
-    told = groups.answer(asked, _seen_twice, [np.uint8], 1, short=True)
+    told = groups.answer(asked, _together, [np.uint32], 1, short=True)
 
     def finish(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
         values, row = _shingles(table)
-        _, at = np.unique(groups.shortened(values, buckets), return_inverse=True)
-        shared = groups.read(answers, [np.uint8])[0][at] > 0
-        return pa.table({"doc": table.column("doc"), "n": table.column("n"), "s": pa.array(np.bincount(row[shared], minlength=table.num_rows).astype(np.int32))})
-
-    return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, "doc long, n int, s int")
+        short, at = np.unique(groups.shortened(values, buckets), return_inverse=True)
+        often = groups.read(answers, [np.uint32])[0][at].astype(np.int64)
+        shared = np.bincount(row[often > 1], minlength=table.num_rows)
+        # The counts are those of the shortened hashes, so this order is the same in every set.
+        order = np.lexsort((values, often, row))
+        values, often = values[order], often[order]
+        rank, use = _prefix(row, np.bincount(row, minlength=table.num_rows))
+        use &= often > 1
+        kept = np.bincount(row[use], minlength=table.num_rows)
+        return pa.table({
+            "doc": table.column("doc"), "n": table.column("n"), "s": pa.array(shared.astype(np.int32)),
+            "tokens": groups.cells(values[use], kept), "ranks": groups.cells(rank[use].astype(np.int32), kept)})
+
+    return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, "doc long, n int, s int, tokens binary, ranks binary")
 
 
 _CHOSEN = "token long, doc long, n int, s int, prefix int, asked int"
@@ -330,12 +347,11 @@ def _fits(*supports: str) -> Column:
 
 def link(base: DataFrame) -> DataFrame:
     """Links (a, b) between different texts, enough to connect every component. base: as ``_base`` gives it."""
-    listed = base.where(F.col("tokens").isNotNull())
+    listed = base.where(F.col("shingles").isNotNull())
     sets = listed.select("doc", "shingles")
     # A set that shares less than this with all others together links with none.
     known = materialize(support(listed).where(F.col("s") * 100 >= F.col("n") * SHARE))
-    raw = listed.select("doc", "n", "tokens", "ranks").mapInArrow(_postings, "token long, doc long, n int, rank int").join(known, ["doc", "n"])
-    raw = materialize(raw)
+    raw = materialize(known.mapInArrow(_postings, "token long, doc long, n int, s int, rank int"))
     df = raw.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     index = materialize(raw.join(df, "token"))
     chosen = materialize(
