@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranges import range_join
+
 #: Right sides up to this many rows may be compared with every left row.
 MAX_COMPARED_ROWS = 256
 #: Interval tables up to this many rows are compared directly with every event; longer ones go by day. Both give the same rows.
@@ -76,13 +78,13 @@ def theta_join(
 ) -> DataFrame:
     """Join on a list of ``(left column, operator, right column)`` comparisons.
 
-    The right side must be a short list (it is counted): comparisons without an equality have to look at every pair.
-    For long interval tables use ``interval_join``.
+    A short right side (it is counted) is compared with every row; a long one without an equality goes by ``range_join``,
+    which gives the same rows.
     """
     size = right.limit(MAX_COMPARED_ROWS + 1).count()
     has_equality = any(op == "==" for _, op, _ in conditions)
     if size > MAX_COMPARED_ROWS and not has_equality:
-        raise ValueError("a long right side needs an equality; use interval_join for intervals")
+        return range_join(left, right, conditions, how)
     if size <= MAX_COMPARED_ROWS:
         right = F.broadcast(right)
     condition = reduce(operator.and_, [_COMPARE[op](left[l], right[r]) for l, op, r in conditions])

@@ -42,6 +42,16 @@ def interval_left_join(spark, sf):
     return _patched(theta_join(events, _calendar(spark), conditions))
 
 
+def range_left_join(spark, sf):
+    """Lines by the price spans of all parts, two long sides; lines in no span are counted under no part."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    low = F.col("p_retailprice") * 20
+    spans = table(spark, sf, "part").select("p_partkey", low.alias("low"), (low + 25).alias("high"))
+    met = theta_join(lines, spans, [("l_extendedprice", ">=", "low"), ("l_extendedprice", "<", "high")])
+    return met.groupBy("p_partkey").agg(
+        F.count("*").alias("n"), F.min("l_extendedprice").alias("least"), F.max("l_extendedprice").alias("most"))
+
+
 def interval_left_join_day(spark, sf):
     events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("at"))
     return _patched(interval_join(events, _calendar(spark), "at", "start_date", "end_date", "whole_day", "by_day"))
@@ -138,6 +148,7 @@ QUERIES = {
     "sql_filter_join": sql_filter_join,
     "interval_left_join": interval_left_join,
     "interval_left_join_day": interval_left_join_day,
+    "range_left_join": range_left_join,
     "multi_dialect_union": multi_dialect_union,
     "two_sided_union": two_sided_union,
     "self_join_opponent": self_join_opponent,
@@ -156,6 +167,10 @@ ORACLES = {
         SELECT event_id, patch, strftime(a, '%Y-%m-%d') AS start_date
         FROM events LEFT JOIN (VALUES {_CALENDAR_SQL}) AS t(patch, a, b)
              ON ts >= a::TIMESTAMP AND ts <= b::TIMESTAMP""",
+    "range_left_join": """
+        SELECT p_partkey, count(*) AS n, min(l_extendedprice) AS least, max(l_extendedprice) AS most
+        FROM lineitem LEFT JOIN part ON l_extendedprice >= p_retailprice * 20 AND l_extendedprice < p_retailprice * 20 + 25
+        GROUP BY p_partkey""",
     "interval_left_join_day": f"""
         SELECT event_id, patch, strftime(a, '%Y-%m-%d') AS start_date
         FROM events LEFT JOIN (VALUES {_CALENDAR_SQL}) AS t(patch, a, b)

@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from skillframe.operators import ranges
 from skillframe.operators.joins import equi_join, interval_join, natural_join, theta_join
 from skillframe.operators.ranking import dense_rank_id, first_by, top1, zscore
 from skillframe.operators.reshape import across, membership, ordered_concat, pivot_wide, sum_numeric
@@ -64,11 +66,28 @@ def test_interval_join_repeats_events_in_overlaps(spark):
         assert interval_join(events, patches, "ts", "a", "b", "midnight", strategy).count() == 2
 
 
-def test_theta_join_refuses_a_long_list_without_equality(spark):
-    left, right = spark.range(3).toDF("a"), spark.range(1000).toDF("b")
-    with pytest.raises(ValueError):
-        theta_join(left, right, [("a", ">=", "b")])
-    assert theta_join(left, right.limit(2), [("a", ">=", "b")], "inner").count() == 5
+def test_theta_join_of_long_sides(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "BUCKET_ROWS", 40)
+    draw = random.Random(1)
+    values = [draw.choice([7.5, None, draw.uniform(0, 100), draw.uniform(0, 100)]) for _ in range(900)] + [float("inf"), float("-inf"), 0.0]
+    left = spark.createDataFrame(list(enumerate(values)), "i int, x double").repartition(3)
+    spans = [(k, draw.uniform(-5, 100)) for k in range(300)] + [(300, None), (301, 7.5), (302, 7.5)]
+    right = spark.createDataFrame([(k, a, None if a is None or k % 50 == 7 else a + draw.choice([-1, 0, 0.5, 30])) for k, a in spans], "k int, a double, b double")
+    bounds = [tuple(r) for r in right.collect()]
+    for tests, fits in ((([("x", ">=", "a"), ("x", "<=", "b")]), lambda x, a, b: a is not None and b is not None and a <= x <= b),
+                        (([("x", ">", "a"), ("x", "<", "b")]), lambda x, a, b: a is not None and b is not None and a < x < b),
+                        (([("x", "<", "a")]), lambda x, a, b: a is not None and x < a)):
+        pairs = sorted((i, k) for i, x in enumerate(values) for k, a, b in bounds if x is not None and fits(x, a, b))
+        assert sorted((r["i"], r["k"]) for r in theta_join(left, right, tests, "inner").collect()) == pairs
+        alone = sorted(set(range(len(values))) - {i for i, _ in pairs})
+        found = [(r["i"], r["k"]) for r in theta_join(left, right, tests).collect()]
+        assert sorted(i for i, k in found if k is None) == alone and sorted(p for p in found if p[1] is not None) == pairs
+    assert theta_join(left.limit(0), right, [("x", ">=", "a")]).count() == 0
+    times = left.withColumn("x", F.expr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, i)"))
+    spans = right.select("k", F.expr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, k)").alias("a"))
+    assert ranges.range_join(times, spans, [("x", "<=", "a"), ("x", ">=", "a")], "inner").count() == 303
+    with pytest.raises(ValueError, match="one left column"):
+        ranges.range_join(left, right, [("x", ">=", "a"), ("i", "<", "b")])
 
 
 def test_dense_rank_id(spark):
