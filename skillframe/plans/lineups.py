@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import paste
 from ..models.design import Term
+from ..models.laplace import fit_crossed_laplace
 from ..models.mixed import fit_crossed_logit
 from ..models.ridge import best_lambda, ridge_cv, ridge_fit
 from ..operators.joins import equi_join
@@ -41,11 +42,15 @@ def lineup_frame(sides: DataFrame) -> DataFrame:
     ).select(*lineups.columns, F.col("b.lineup").alias("lineup_opponent"))
 
 
-def lineup_scores(frame: DataFrame, tol: float = 1e-4) -> DataFrame:
-    """Lineup effects of one season: lineup, n, estimate, team."""
-    fit = fit_crossed_logit(
-        frame, "win", Term("map_type", "first_attacker_flg"), ("lineup", "lineup_opponent"), tol=tol
-    )
+def lineup_scores(frame: DataFrame, tol: float = 1e-4, method: str = "pql") -> DataFrame:
+    """Lineup effects of one season: lineup, n, estimate, team.
+
+    ``method='laplace'`` estimates the variances by the marginal likelihood, in more jobs a round; ``'pql'`` lets them run low.
+    """
+    if method not in ("pql", "laplace"):
+        raise ValueError(f"unknown method: {method}")
+    fitter = fit_crossed_laplace if method == "laplace" else fit_crossed_logit
+    fit = fitter(frame, "win", Term("map_type", "first_attacker_flg"), ("lineup", "lineup_opponent"), tol=tol)
     effects = signed_mean(fit.effects, ["grp"], "grpvar", "lineup", "condval", "estimate")
     counts = frame.groupBy("lineup", "player_team").agg(F.count(F.lit(1)).alias("n"))
     joined = equi_join(counts, effects, {"lineup": "grp"})
@@ -67,7 +72,7 @@ def player_scores(
 
 
 def rate_seasons(
-    results: DataFrame, subroles: DataFrame, tol: float = 1e-4, seasons: Sequence[str] = SEASONS
+    results: DataFrame, subroles: DataFrame, tol: float = 1e-4, seasons: Sequence[str] = SEASONS, method: str = "pql"
 ) -> tuple[DataFrame, DataFrame]:
     """(player scores, lineup scores) of all seasons that have decided maps; the frame is built once for all."""
     sides = materialize(side_players(results, subroles, seasons))
@@ -76,7 +81,7 @@ def rate_seasons(
     players, lineups = [], []
     for year in years:
         season = frame.where(F.col("year") == year)
-        rated = materialize(lineup_scores(season, tol))
+        rated = materialize(lineup_scores(season, tol, method))
         roles = sides.where(F.col("year") == year).select("player_role").distinct()
         lineups.append(rated.withColumn("year", F.lit(int(year))))
         players.append(player_scores(rated, roles).withColumn("year", F.lit(int(year))))
