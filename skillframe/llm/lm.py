@@ -45,7 +45,7 @@ _U = np.uint64
 _START, _END = _U(0x5AFE5AFE5AFE5AFE), _U(0xE0DE0DE0DE0DE0D1)
 CHUNK, GATES, SLOTS, RATE = 32, 6, 1 << 14, 0.02
 #: Folds of documents for the start weights; tokens handled at a time; weights are summed as whole numbers of this part.
-FOLDS, TOKENS, WHOLE = 16, 1 << 19, 1 << 20
+FOLDS, TOKENS, WHOLE = 16, 1 << 18, 1 << 20
 #: Slots of the three contexts of a choice, and where each begins when those of both choices follow each other.
 _SIZES = (256, SLOTS, 144)
 _STARTS = np.concatenate([[0], np.cumsum(_SIZES * 2)])
