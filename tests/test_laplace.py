@@ -85,10 +85,6 @@ def test_variances_equal_the_dense_likelihood(spark, monkeypatch):
     assert np.mean([effects[k]["condsd"] for k in named]) == pytest.approx(np.mean(np.sqrt(np.diag(np.linalg.inv(dense.h)))), rel=close)
 
 
-def test_a_factor_without_effect_has_no_variance(spark):
-    draw = random.Random(4)
-    rows = [(f"a{i % 8}", f"b{i % 5}", "A", 1.0, float(i % 8 < 4) if draw.random() < 0.8 else float(i % 3 == 0)) for i in range(480)]
-    fit = laplace.fit_crossed_laplace(spark.createDataFrame(rows, SCHEMA), "win", Term("k", "f"), ("a", "b"))
-    assert fit.variances["b"] <= 1e-6 < 0.3 < fit.variances["a"]
+def test_a_fit_that_does_not_converge_says_so(spark):
     with pytest.raises(RuntimeError, match="no convergence"):
-        laplace.fit_crossed_laplace(spark.createDataFrame(rows, SCHEMA), "win", Term("k", "f"), ("a", "b"), tol=1e-9, max_rounds=1)
+        laplace.fit_crossed_laplace(spark.createDataFrame(games(60, 4, 3, 1.0, 1.0, 1), SCHEMA), "win", Term("k", "f"), ("a", "b"), tol=1e-9, max_rounds=1)
