@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import sqltext
 from ..functions.nulls import as_col, fill_missing, na_sum
 
+#: Characters of the runs by which texts are searched.
+GRAM = 3
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
@@ -91,8 +93,8 @@ def membership(
     """Long form of the lineup-by-member 0/1 design: the distinct (lineup, member) pairs that hold a 1.
 
     ``exact`` splits the lineup text into its members. ``regex`` reproduces a text search instead, where every value
-    of ``roles`` is a pattern that may also match inside a longer name; the distinct lineups are then searched
-    against slices of the roles that are small enough to broadcast.
+    of ``roles`` is a pattern that may also match inside a longer name. Roles without pattern signs are plain text, found
+    by ``contained``; the distinct lineups are searched for the other roles in slices that are small enough to broadcast.
     """
     texts = lineups.select(col).where(F.col(col).isNotNull()).distinct()
     if mode == "exact":
@@ -104,17 +106,44 @@ def membership(
         raise ValueError(f"unknown mode: {mode}")
     if roles is None:
         raise ValueError("regex mode needs the roles to search for")
-    patterns = roles.select(role).distinct()
-    slices = max(1, -(-patterns.count() // ROLES_PER_SLICE))
+    roles = roles.select(role).where(F.col(role).isNotNull()).distinct()
+    signs = F.rlike(F.col(role), F.lit(r"[\\^$.|?*+()\[\]{}]"))
+    out = contained(texts, col, roles.where(~signs), role)
+    patterns = roles.where(signs)
+    slices = -(-patterns.count() // ROLES_PER_SLICE)
     sliced = patterns.withColumn("__slice", F.pmod(F.xxhash64(role), F.lit(slices)))
-    out = None
     for k in range(slices):
         part = F.broadcast(sliced.where(F.col("__slice") == k).drop("__slice"))
         found = texts.join(part, F.rlike(F.col(col), F.col(role)), "inner").select(col, role)
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(found)
     return out
 
 
+def contained(texts: DataFrame, col: str, parts: DataFrame, part: str, size: int = GRAM) -> DataFrame:
+    """The pairs (text, part) of distinct values where the part occurs inside the text.
+
+    A part is looked up by the rarest of its runs of ``size`` characters in the texts (the whole part, where it is
+    shorter), so a text meets only the parts whose rarest run it has; those pairs are then compared. Missing values pair
+    with nothing, an empty part with every text (its run is empty). Work grows with the texts' length and the pairs that share a run.
+    """
+    texts = texts.select(F.col(col).alias("__text")).where("__text IS NOT NULL").distinct()
+    texts = texts.withColumn("__id", F.expr("unhex(md5(encode(__text, 'UTF-8')))"))
+    parts = parts.select(F.col(part).alias("__part")).where("__part IS NOT NULL").distinct()
+    runs = parts.withColumn("__n", F.least(F.length("__part"), F.lit(size)))
+    runs = runs.selectExpr("__part", "explode(array_distinct(transform(sequence(1, length(__part) - __n + 1), i -> substring(__part, i, __n)))) AS __run")
+    # Runs of the texts are kept only where some part has them.
+    lengths = ", ".join(str(n) for n in range(1, size + 1))
+    places = f"transform(filter(array({lengths}), n -> n <= length(__text)), n -> transform(sequence(1, length(__text) - n + 1), i -> substring(__text, i, n)))"
+    postings = texts.selectExpr("__id", f"explode(array_distinct(concat(array(''), flatten({places})))) AS __run")
+    postings = postings.join(runs.select("__run").distinct(), "__run", "left_semi")
+    counts = postings.groupBy("__run").agg(F.count(F.lit(1)).alias("__texts"))
+    # A run that no text has rules its part out; else the part stands under its rarest run.
+    rarest = runs.join(counts, "__run", "left").groupBy("__part").agg(F.expr("min_by(struct(__run, __texts), struct(coalesce(__texts, 0), __run)) AS r"))
+    keys = rarest.where("r.__texts IS NOT NULL").selectExpr("__part", "r.__run AS __run")
+    found = postings.join(keys, "__run").join(texts, "__id").where("contains(__text, __part)").select("__text", "__part")
+    return found.select(F.col("__text").alias(col), F.col("__part").alias(part))
+
+
 #: Patterns per broadcast slice in regex mode.
 ROLES_PER_SLICE = 20_000
 

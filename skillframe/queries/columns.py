@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import US_TIME, parse_time, rate_per
 from ..functions.nulls import ifelse3, na_sum, not_in_keep_null
-from ..functions.text import first_contained, hrefs, slugify, url_basename
+from ..functions.text import first_contained, hrefs, inner_html, slugify, url_basename
 from ..operators.lookup import apply_corrections, lookup_table, relabel
 from . import table
 
@@ -83,6 +83,18 @@ def href_extract(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.explode(hrefs("html")).alias("href"))
 
 
+def container_links(spark, sf):
+    """Links of the menu, and of nothing else on the page."""
+    inside = inner_html("html", "nav")
+    return table(spark, sf, "pages").select("page_id", F.posexplode(hrefs(inside)).alias("place", "href"))
+
+
+def container_text(spark, sf):
+    """What the element of class ad holds, as written."""
+    pages = table(spark, sf, "pages").select("page_id", inner_html("html", "div", "class", "ad").alias("inside"))
+    return pages.select("page_id", "inside", F.length("inside").alias("n_chars"))
+
+
 def url_basename_(spark, sf):
     return table(spark, sf, "pages").select("page_id", url_basename("url", "data/").alias("file"))
 
@@ -104,6 +116,8 @@ QUERIES = {
     "slugify": slugify_,
     "year_from_text": year_from_text,
     "href_extract": href_extract,
+    "container_links": container_links,
+    "container_text": container_text,
     "url_basename": url_basename_,
     "rate_per_ten": rate_per_ten,
 }
@@ -154,6 +168,14 @@ ORACLES = {
               FROM orders)""",
     "href_extract": """
         SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href FROM pages""",
+    "container_links": """
+        SELECT page_id, (k - 1)::INT AS place, found[k] AS href
+        FROM (SELECT page_id, found, unnest(range(1, len(found) + 1)) AS k
+              FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
+                                                       '<a [^>]*href="([^"]*)"', 1) AS found FROM pages))""",
+    "container_text": """
+        SELECT page_id, inside, length(inside)::INT AS n_chars
+        FROM (SELECT page_id, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS inside FROM pages)""",
     "url_basename": """
         SELECT page_id, CASE WHEN regexp_extract(url, '/([^/]+)$', 1) = '' THEN ''
                              ELSE 'data/' || regexp_extract(url, '/([^/]+)$', 1) END AS file

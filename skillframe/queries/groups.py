@@ -8,7 +8,7 @@ from ..functions.nulls import na_sum, paste
 from ..operators.joins import equi_join, natural_join
 from ..operators.lookup import Clause, Rule, classify
 from ..operators.ranking import dense_rank_id, top1, zscore
-from ..operators.reshape import membership, ordered_concat, pivot_wide
+from ..operators.reshape import contained, membership, ordered_concat, pivot_wide
 from ..plans.results import results_by_map as map_results
 from ..plans.results import results_by_match as match_results
 from . import table
@@ -83,6 +83,11 @@ def membership_design(spark, sf):
     return membership(lineups(spark, sf), "lineup").select("lineup", "player_role")
 
 
+def membership_search(spark, sf):
+    """Every role that occurs inside a lineup's text, as a whole member or inside a longer one."""
+    return contained(lineups(spark, sf), "lineup", member_roles(spark, sf), "player_role")
+
+
 def distinct_values(spark, sf):
     return member_roles(spark, sf).select("player_role").distinct()
 
@@ -159,6 +164,7 @@ QUERIES = {
     "rule_classifier": rule_classifier,
     "lineup_string": lineup_string,
     "membership_design": membership_design,
+    "membership_search": membership_search,
     "distinct_values": distinct_values,
     "pivot_sum_fill": pivot_sum_fill,
     "pivot_multi_value": pivot_multi_value,
@@ -246,6 +252,9 @@ ORACLES = {
     "membership_design": f"""{_ROLES}
         SELECT DISTINCT lineup, player_role
         FROM (SELECT lineup, unnest(string_split(lineup, ';')) AS player_role FROM lineups)""",
+    "membership_search": f"""{_ROLES}
+        SELECT lineup, player_role FROM (SELECT DISTINCT lineup FROM lineups) JOIN (SELECT DISTINCT player_role FROM roles)
+             ON contains(lineup, player_role)""",
     "distinct_values": f"{_ROLES} SELECT DISTINCT player_role FROM roles",
     "pivot_sum_fill": f"""
         SELECT user_id, {', '.join(f'round({k}, 4) AS {k}' for k in KINDS)}, round(view - click, 4) AS difference

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..models.design import Term
 from ..models.glm import coef_band as band
 from ..models.glm import fit_logit, fit_logit_by, score_link as link, score_map_advantage
+from ..models.grouped import fit_logit_groups
 from ..models.mixed import fit_crossed_logit
 from ..models.ridge import ridge_cv as cross_validate
 from ..models.ridge import ridge_fit as solve
@@ -75,6 +76,34 @@ def mixed_intercepts(spark, sf):
     return fit.effects
 
 
+def returns(spark, sf):
+    """Lines with whether they were returned, their share of the largest quantity, and a two-valued size class."""
+    return table(spark, sf, "lineitem").select(
+        "l_partkey", "l_suppkey", F.expr("int(l_returnflag = 'R')").alias("returned"), F.lit(1.0).alias("one"),
+        (F.col("l_quantity") / 50).alias("share"), F.when(F.col("l_quantity") > 25, "large").otherwise("small").alias("size"),
+    )
+
+
+def glm_groups(spark, sf):
+    """A fit per part. Cells of one outcome only have no finite estimate; they are left out before the fit."""
+    rows = returns(spark, sf)
+    both = rows.groupBy("l_partkey", "size").agg(F.min("returned").alias("low"), F.max("returned").alias("high")).where("low < high")
+    usable = equi_join(rows, both.drop("low", "high"), ["l_partkey", "size"], nullsafe=False)
+    coefs = fit_logit_groups(usable, "returned", [Term("one", "size")], "l_partkey", collapse=True)
+    return coefs.select("l_partkey", "term", F.round("estimate", 4).alias("estimate"), F.round("std_error", 4).alias("std_error"), "converged")
+
+
+def glm_groups_balance(spark, sf):
+    """A fit per supplier: the sums of residuals times each column, which are 0 at the maximum."""
+    rows, terms = returns(spark, sf), [Term("one"), Term("share")]
+    coefs = fit_logit_groups(rows, "returned", terms, "l_suppkey").groupBy("l_suppkey").agg(
+        F.expr("max(estimate) FILTER (WHERE term = 'one') AS b0"), F.expr("max(estimate) FILTER (WHERE term = 'share') AS b1"))
+    rest = "returned - 1 / (1 + exp(-(b0 + b1 * share)))"
+    sums = equi_join(rows, coefs, ["l_suppkey"], nullsafe=False).groupBy("l_suppkey").agg(
+        F.count("*").alias("n"), F.expr(f"round(sum({rest}), 3) + 0D AS score_one"), F.expr(f"round(sum(share * ({rest})), 3) + 0D AS score_share"))
+    return sums
+
+
 def one_hot_members(spark, sf):
     """Each supplier as a group with one member, its nation; value is the mean quantity, weight the line count."""
     line = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
@@ -100,6 +129,8 @@ def ridge_cv(spark, sf):
 QUERIES = {
     "glm_saturated": glm_saturated,
     "glm_by_group": glm_by_group,
+    "glm_groups": glm_groups,
+    "glm_groups_balance": glm_groups_balance,
     "coef_band": coef_band,
     "score_link": score_link,
     "score_map_adv": score_map_adv,
@@ -134,6 +165,14 @@ ORACLES = {
                round(1 / sqrt(n * p * (1 - p)), 4) AS std_error,
                round(ln(p / (1 - p)) * sqrt(n * p * (1 - p)), 4) AS statistic
         FROM {_cells('tone, size')}""",
+    "glm_groups": """
+        SELECT l_partkey, 'one:size' || size AS term, round(ln(p / (1 - p)), 4) AS estimate,
+               round(1 / sqrt(n * p * (1 - p)), 4) AS std_error, true AS converged
+        FROM (SELECT l_partkey, CASE WHEN l_quantity > 25 THEN 'large' ELSE 'small' END AS size, count(*) AS n,
+                     avg((l_returnflag = 'R')::INT) AS p
+              FROM lineitem GROUP BY ALL) WHERE p > 0 AND p < 1""",
+    "glm_groups_balance": """
+        SELECT l_suppkey, count(*) AS n, 0::DOUBLE AS score_one, 0::DOUBLE AS score_share FROM lineitem GROUP BY l_suppkey""",
     "coef_band": f"""WITH {_LABELLED}
         SELECT lang, round(ln(p / (1 - p)), 4) AS estimate,
                round(ln(p / (1 - p)) - 1 / sqrt(n * p * (1 - p)), 4) AS lower,

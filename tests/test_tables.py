@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skillframe.operators import ranges
 from skillframe.operators.joins import equi_join, interval_join, natural_join, theta_join
 from skillframe.operators.ranking import dense_rank_id, first_by, top1, zscore
-from skillframe.operators.reshape import across, membership, ordered_concat, pivot_wide, sum_numeric
+from skillframe.operators.reshape import across, contained, membership, ordered_concat, pivot_wide, sum_numeric
 from skillframe.operators.sides import other_side, signed_mean, two_sided
 
 
@@ -163,6 +163,20 @@ def test_membership_modes(spark):
     assert membership(lineups, "lineup").count() == 3
 
 
+def test_contained_by_character_runs(spark):
+    texts = ["abc;bcd", "abcabc", "\U0001f600bé", "x", "", "a.c", None, "x"]
+    parts = ["abc", "bc", "b", "", "bcd", "zzz", "abz", "\U0001f600b", "bé", "a.c", "abcabcabc", None, "x", "x"]
+    left = spark.createDataFrame([(t,) for t in texts], "lineup string")
+    right = spark.createDataFrame([(p,) for p in parts], "lineup string")
+    want = sorted({(t, p) for t in texts for p in parts if t is not None and p is not None and p in t})
+    for size in (1, 2, 3, 5):
+        found = contained(left, "lineup", right.withColumnRenamed("lineup", "part"), "part", size)
+        assert sorted(tuple(r) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert contained(left.limit(0), "lineup", right, "lineup").count() == 0
+
+
 def test_across_and_numeric_sums(spark):
     df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None)], "k string, x int, deaths_a double")
     assert tuple(across(df, lambda c: c.startswith("deaths"), lambda c: c * 0).first()) == ("a", 1, 0.0)
