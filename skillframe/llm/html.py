@@ -8,6 +8,10 @@ are the main text. What is no text at all (scripts, styles, forms, menus, page f
 
 Every page is one row and one step of a batch; no shuffle. Work grows with the page's length.
 
+A heading or an ``aria-label`` that names reader comments, other articles or the like ("3 Comments", "You might also like") speaks
+for its section: the heading for what follows it there up to the next heading of its rank, the label for its element. A page's
+title (h1) never does.
+
 Markup is read as browsers do in the cases that matter: paragraphs, list items and cells end where the next begins, unmatched
 end tags are passed over, unclosed comments, scripts and tags run to the end, character references without semicolon count.
 
@@ -64,6 +68,26 @@ _HEADER_NAMES = {"header", "head", "top"}
 _ABOUT = {"has", "with", "no", "without", "is", "js"}
 _GOOD_NAMES = set("article articlebody post entry story content main body text prose".split())
 _HARD = -1e9
+#: Headings and labels of page furniture, whole, in lower case, without counts around them.
+_SAYS = re.compile(r"""(?:(?:reader|user|all|recent|latest|your|top)\ )?(?:comments?|replies)(?:\ section)?|(?:comments?|replies|responses|thoughts?)\ (?:to|on)\ .+
+|(?:leave|post|add|write)\ (?:a|your)\ (?:comment|reply|response)|join\ the\ (?:conversation|discussion)|what\ readers\ say
+|(?:related|recommended|popular|similar|trending|more|latest|other)\ (?:articles?|posts?|stories|story|content|links|reading|topics|news)|trending(?:\ now)?
+|you\ (?:might|may)\ also\ (?:like|enjoy|be\ interested\ in)|recommended(?:\ for\ you)?|more\ (?:from|like)\ .+|read\ (?:more|next)|up\ next|most\ (?:read|popular|viewed|shared|commented)
+|advertisements?|sponsored(?:\ (?:content|links|stories))?|promoted(?:\ (?:content|stories))?|share\ this(?:\ (?:article|post|story|page))?|follow\ us(?:\ on\ .+)?
+|(?:subscribe|sign\ up)(?:\ (?:to|for)\ .+)?|(?:our\ )?newsletter|breadcrumbs?|pagination|social(?:\ (?:media|links))?|cookie\ (?:notice|policy|settings)
+|kommentare?|(?:schreibe?|hinterlasse)\ einen\ kommentar|(?:ähnliche|weitere|verwandte)\ (?:artikel|beiträge)|commentaires?|laisser\ un\ commentaire
+|(?:articles|contenus)\ (?:similaires|liés|connexes)|comentarios?|deja\ (?:un\ comentario|una\ respuesta)|(?:artículos|noticias|entradas)\ (?:relacionados|relacionadas)""", re.X)
+_AROUND = re.compile(r"^[(\[]?\d[\d.,]*[)\]]?\s+|\s*[(\[]?\d[\d.,]*[)\]]?$|[\s:!?.…»–-]+$")
+_LONGEST_LABEL = 80
+
+
+def _says_furniture(text: str) -> bool:
+    if len(text) > _LONGEST_LABEL:  # no label, but a text
+        return False
+    text, before = " ".join(text.lower().split()), None
+    while text != before:
+        before, text = text, _AROUND.sub("", text)
+    return _SAYS.fullmatch(text) is not None
 
 
 class _Element:
@@ -86,7 +110,9 @@ def _named(rest: str) -> tuple[float, int, int]:
         seen.add(key)
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return _HARD, 0, 0
-        if key == "role":
+        if key == "aria-label" and _says_furniture(value):
+            cost, hold = _FURNITURE, 2
+        elif key == "role":
             if value in _NEVER_ROLES:
                 return _HARD, 0, 0
             good = max(good, {"main": 3, "article": 2}.get(value, 0))
@@ -111,6 +137,8 @@ def _named(rest: str) -> tuple[float, int, int]:
 def blocks(page: str) -> list[tuple[str, float, int]]:
     """(text, cost, section) of each block in page order; the cost is the classifier's, below 0 for boilerplate."""
     found: list[tuple[str, float, int]] = []
+    levels: list[int] = []  # of headings, 0 of other blocks
+    kinds, parents, ends = [""], [0], {}  # of the sections: element, section around it, number of blocks before its end
     stack = [_Element("", 0.0, False, 0, 0)]
     pieces: list[str] = []
     owner: _Element | None = None
@@ -122,6 +150,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text and owner is not None:
                 found.append((text, _cost(text, owner, block_name, linked), owner.section))
+                levels.append(_level(block_name))
         pieces, owner, linked = [], None, 0
 
     def add(text: str) -> None:
@@ -139,7 +168,10 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
     def pop(to: int) -> None:
         nonlocal links
         while len(stack) > to:
-            links -= stack.pop().name == "a"
+            gone = stack.pop()
+            links -= gone.name == "a"
+            if gone.name in _SECTIONS:
+                ends[gone.section] = len(found)
 
     at, size = 0, len(page)
     while at < size:
@@ -197,6 +229,8 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             cost = min(cost, _HEADER)
         if name in _SECTIONS:
             sections += 1
+            kinds.append(name)
+            parents.append(up.section)
         inside = up.article or name in ("article", "main") or good > 0 and name != "body"
         body = name in ("html", "body")
         if not cost:
@@ -207,13 +241,39 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
                               up.hold if body else max(0 if lifted else up.hold, hold)))
         links += name == "a"
     flush()
-    return found
+    return _headed(found, levels, kinds, parents, ends)
+
+
+def _level(block: str) -> int:
+    """Rank of a heading, 0 for other blocks."""
+    return int(block[1]) if len(block) == 2 and block[0] == "h" and block[1].isdigit() else 6 if block == "summary" else 0
+
+
+def _headed(found: list[tuple[str, float, int]], levels: list[int], kinds: list[str], parents: list[int], ends: dict[int, int]) -> list[tuple[str, float, int]]:
+    """The blocks, those under a heading that names furniture at its cost."""
+    out, at = list(found), 0
+    while at < len(found):
+        level, section = levels[at], found[at][2]
+        if level < 2 or not _says_furniture(found[at][0]):
+            at += 1
+            continue
+        # A heading alone in a box or header speaks for what the box stands in.
+        while kinds[section] in ("div", "header") and ends.get(section, len(found)) == at + 1 and (not at or found[at - 1][2] < section):
+            section = parents[section]
+        stop = at + 1
+        end = ends.get(section, len(found))
+        while stop < end and not (0 < levels[stop] < level or levels[stop] == level and found[stop][2] <= found[at][2]):
+            stop += 1
+        for i in range(at, stop):
+            out[i] = (found[i][0], found[i][1] + _FURNITURE, found[i][2])
+        at = stop
+    return out
 
 
 def _cost(text: str, owner: _Element, block: str, linked: int) -> float:
     if owner.cost <= _HARD:
         return _HARD
-    heading = len(block) == 2 and block[0] == "h" and block[1].isdigit()
+    heading = block != "summary" and _level(block) > 0
     n = text.count(" ") + 1
     cost = _BASE + owner.cost + min(n * _PER_WORD, _MOST_WORDS) + _LINKED * min(1.0, linked / max(1, len(text)))
     if owner.article:

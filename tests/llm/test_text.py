@@ -189,6 +189,29 @@ def test_furniture_stays_out(page):
     assert html.main_text(page.format(said=SAID)) == ""
 
 
+OTHER = "I think that this is a long text with many words, by one of the readers of this page."
+
+
+@pytest.mark.parametrize("after", [
+    "<section><h2>Comments</h2><article><p>{o}</p></article><article><h3>Ann</h3><p>{o}</p></article></section>",
+    "<section><h2>Leave a Reply</h2><p>{o}</p></section>", '<section aria-label="Comments"><article><p>{o}</p></article></section>',
+    "<section><h3>3 Comments</h3><div><p>{o}</p></div></section>", "<section><header><h2>Comments (12):</h2></header><article><p>{o}</p></article></section>",
+    "<div><div><h3>You might also like</h3></div><div><p>{o}</p><ul><li><a href=x>{o}</a></ul></div></div>", "<section><h2>12 thoughts on \u201cA day\u201d</h2><p>{o}</p></section>",
+    "<details><summary>Comments</summary><p>{o}</p></details>", "<section><h2>Kommentare</h2><p>{o}</p><p>{o}</p></section>",
+    "<h2>Related stories</h2><p>{o}</p><h3>{o}</h3><p>{o}</p>"])
+def test_headings_and_labels_speak_for_their_section(after):
+    page = "<article><h1>Comments</h1><p>{s}</p><h2>On comments and replies</h2><p>{s}</p>" + after + "<h2>The end</h2><p>{s}</p></article>"
+    want = ["Comments", SAID, "On comments and replies", SAID, "The end", SAID]
+    assert html.main_text(page.format(o=OTHER, s=SAID)) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("page", [
+    '<article aria-label="A day in June"><p>{s}</p></article>', "<h2>Related articles</h2><ul><li><a href=x>x</a></ul><article><h1>{s}</h1></article>",
+    "<article><h2>Comments are an old habit</h2><p>{s}</p></article>", "<article><p>Comments</p><p>{s}</p></article>"])
+def test_other_headings_do_not(page):
+    assert SAID in html.main_text(page.format(s=SAID))
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</p>", "<a href='", "&#x;", "<p>" * 3000, "<nav>x</nav>", "<![CDATA["])
 def test_odd_pages_have_no_text(page):
     assert html.main_text(page) == ""
