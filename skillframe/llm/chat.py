@@ -1,14 +1,17 @@
 """Chat formatting: layouts found by a fingerprint of their field paths, one template, and a loss mask.
 
-Records come as JSON texts or as table rows. The nested field paths of a record (``messages[].role``) are sorted and hashed;
-the hash selects a declarative ``Layout`` that says where roles and texts lie. Everything is SQL functions.
+Records come as JSON texts or as table rows. The nested field paths of a record (``messages[].role``), of all items of its
+lists, or of a table's schema are cut to those that some layout names, sorted and hashed; the hash selects a declarative
+``Layout`` that says where roles and texts lie. Further paths (an id, a weight) do not matter; in a record a path of another
+layout does, so that no turn is lost unseen. Everything is SQL functions.
 
 Template: every turn is ``<s>[INST]role[/INST]text</s>``. A control string inside a role or a text gets one backslash after
 its first character, also when it already has some there, so that taking one away gives the text back exactly.
 
 Defined cases: a null text or role counts as empty; turns are ordered by turn (null first), role, text; repeated rows are
-turns of their own; rows without a conversation id form one conversation; a record of unknown layout raises nothing but is
-returned by ``unknown_layouts``; an empty table gives no rows; further columns are ignored.
+turns of their own; rows without a conversation id form one conversation; a record of unknown layout (an empty list of turns
+included) raises nothing but is returned by ``unknown_records``; a table of unknown layout raises; an empty table gives no rows;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,8 +55,10 @@ LAYOUTS = (
            fields=(("system", "instruction"), ("user", "input"), ("assistant", "output"))),
     Layout(("output", "prompt", "system"), fields=(("system", "system"), ("user", "prompt"), ("assistant", "output"))),
 )
-#: The layout of a table with one row per turn.
-ROWS = ("conv_id", "role", "text", "turn")
+#: Layouts of tables: a row per turn, or a row per conversation with a list of turns.
+ROWS = Layout(("conv_id", "role", "text", "turn"), role="role", text="text")
+LISTS = tuple(Layout(("conv_id", *x.paths), x.list_path, x.role, x.text, roles=x.roles) for x in LAYOUTS if x.list_path)
+TABLES = (ROWS, *LISTS)
 
 
 def fingerprint(paths: Column) -> Column:
@@ -62,12 +67,21 @@ def fingerprint(paths: Column) -> Column:
 
 
 def paths_of(payload: Column) -> Column:
-    """Field paths of a JSON object: its keys, and for a list of objects the keys of its first object."""
+    """Field paths of a JSON object: its keys, and for a list of objects the keys of all of them."""
     keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
     lists = F.from_json(payload, "map<string,string>")
-    first = lambda k: F.json_object_keys(F.get_json_object(F.element_at(lists, k), "$[0]"))
-    return F.flatten(F.transform(keys, lambda k: F.coalesce(
-        F.transform(F.when(F.element_at(lists, k).startswith("["), first(k)), lambda s: F.concat(k, F.lit("[]."), s)), F.array(k))))
+
+    def below(key: Column) -> Column:
+        items = F.from_json(F.when(F.element_at(lists, key).startswith("["), F.element_at(lists, key)), "array<map<string,string>>")
+        names = F.array_distinct(F.flatten(F.transform(F.filter(items, lambda m: m.isNotNull()), F.map_keys)))
+        return F.when(F.size(names) > 0, F.transform(names, lambda s: F.concat(key, F.lit("[]."), s))).otherwise(F.array(key))
+
+    return F.flatten(F.transform(keys, below))
+
+
+def _named(paths: Column, layouts: tuple[Layout, ...]) -> Column:
+    """Those of the paths that some layout names."""
+    return F.array_intersect(paths, F.array(*map(F.lit, sorted({p for x in layouts for p in x.paths}))))
 
 
 def schema_paths(schema: StructType, below: str = "") -> list[str]:
@@ -88,6 +102,14 @@ def _known(layouts: tuple[Layout, ...]) -> list[Column]:
     return [fingerprint(F.array(*map(F.lit, x.paths))) for x in layouts]
 
 
+def _renamed(turns: Column, layout: Layout) -> Column:
+    if not layout.roles:
+        return turns
+    named = F.create_map(*[F.lit(v) for pair in layout.roles for v in pair])
+    return F.transform(turns, lambda t: F.struct(
+        F.coalesce(named[F.coalesce(t["role"], F.lit(""))], t["role"]).alias("role"), t["text"].alias("text")))
+
+
 def _turns(layout: Layout) -> Column:
     if layout.list_path:
         items = F.from_json(F.get_json_object(F.col("_payload"), f"$.{layout.list_path}"), "array<map<string,string>>")
@@ -97,11 +119,7 @@ def _turns(layout: Layout) -> Column:
         own = F.filter(F.array(*[
             F.struct(F.lit(role).alias("role"), F.get_json_object(F.col("_payload"), f"$.{name}").alias("text"))
             for role, name in layout.fields]), lambda t: F.coalesce(t["text"], F.lit("")) != "")
-    if not layout.roles:
-        return own
-    named = F.create_map(*[F.lit(v) for pair in layout.roles for v in pair])
-    return F.transform(own, lambda t: F.struct(
-        F.coalesce(named[F.coalesce(t["role"], F.lit(""))], t["role"]).alias("role"), t["text"].alias("text")))
+    return _renamed(own, layout)
 
 
 def from_records(records: DataFrame, conv: str = "conv_id", payload: str = "payload",
@@ -110,24 +128,49 @@ def from_records(records: DataFrame, conv: str = "conv_id", payload: str = "payl
     turns, mark = F.array().cast("array<struct<role:string,text:string>>"), F.col("_print")
     for layout, known in zip(layouts, _known(layouts), strict=True):
         turns = F.when(mark == known, _turns(layout)).otherwise(turns)
-    marked = records.select(F.col(conv).alias("conv_id"), F.col(payload).alias("_payload")).withColumn("_print", fingerprint(paths_of(F.col("_payload"))))
+    marked = records.select(F.col(conv).alias("conv_id"), F.col(payload).alias("_payload")).withColumn(
+        "_print", fingerprint(_named(paths_of(F.col("_payload")), layouts)))
     return marked.select("conv_id", F.posexplode(turns).alias("turn", "t")).select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.col("t.role").alias("role"), F.col("t.text").alias("text"))
 
 
+def unknown_records(records: DataFrame, payload: str = "payload", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """The records, whole, that ``from_records`` finds no layout for."""
+    return records.where(~fingerprint(_named(paths_of(F.col(payload)), layouts)).isin(*_known(layouts)))
+
+
 def unknown_layouts(records: DataFrame, payload: str = "payload", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Fingerprints without a layout: print, paths, number of records."""
+    """Fingerprints without a layout: print and paths (all of them), number of records."""
     paths = F.array_sort(paths_of(F.col(payload)))
-    return records.select(fingerprint(paths).alias("print"), F.array_join(paths, ",").alias("paths")).where(
-        ~F.col("print").isin(*_known(layouts))).groupBy("print", "paths").agg(F.count("*").alias("records"))
+    return unknown_records(records, payload, layouts).select(
+        fingerprint(paths).alias("print"), F.array_join(paths, ",").alias("paths")).groupBy("print", "paths").agg(F.count("*").alias("records"))
+
 
+def _items(layout: Layout) -> Column:
+    return F.transform(layout.list_path, lambda m: F.struct(m[layout.role].cast("string").alias("role"), m[layout.text].cast("string").alias("text")))
 
-def from_rows(table: DataFrame) -> DataFrame:
-    """Turns of a table whose columns hold those of the one-row-per-turn layout, taken by name; others are left."""
+
+def from_rows(table: DataFrame, layouts: tuple[Layout, ...] = TABLES) -> DataFrame:
+    """Turns (conv_id, turn, role, text) of a table: by the first layout whose fingerprint the schema's paths give, cut to that
+    layout's own, so that further columns do not matter.
+
+    Turns of a list are numbered from 0. The hashes are constants, so Spark drops the other layouts from the plan.
+    """
     have = schema_paths(table.schema)
-    if missing := [p for p in ROWS if p not in have]:
-        raise ValueError(f"no layout of turns: columns {missing} are missing")
-    return table.select(F.col("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    fitting = [x for x in layouts if set(x.paths) <= set(have)]  # others name columns that the table lacks
+    if not fitting:
+        raise ValueError(f"no layout of turns: the table has {have}, layouts have {[x.paths for x in layouts]}")
+    kind = table.schema["conv_id"].dataType.simpleString()
+    turns = F.array().cast(f"array<struct<conv_id:{kind},turn:bigint,role:string,text:string>>")
+    for layout, known in reversed(list(zip(fitting, _known(tuple(fitting)), strict=True))):
+        mark = fingerprint(_named(F.array(*map(F.lit, have)), (layout,)))
+        if layout.list_path:
+            own = F.transform(_renamed(_items(layout), layout), lambda t, k: F.struct(
+                F.col("conv_id"), k.cast("long").alias("turn"), t["role"].alias("role"), t["text"].alias("text")))
+        else:
+            own = F.array(F.struct("conv_id", F.col("turn").cast("long").alias("turn"), F.col(layout.role).alias("role"), F.col(layout.text).alias("text")))
+        turns = F.when(mark == known, own).otherwise(turns)
+    return table.select(F.inline(turns))
 
 
 def escape(text: Column) -> Column:

@@ -154,6 +154,30 @@ def test_chat_layouts(spark):
     assert {r["paths"] for r in chat.unknown_layouts(frame).collect()} == {"other", ""}
 
 
+def test_chat_records_lose_no_turn(spark):
+    """Keys that only some messages have, further keys, and records that no layout fits."""
+    records = [
+        {"id": "x", "messages": [{"role": "user"}, {"role": "assistant", "content": "b", "weight": 1}]},
+        {"messages": [{"name": "n", "role": "user", "content": "a"}, None, {"content": "b"}], "meta": {"k": [1]}},
+        {"prompt": "a", "response": "b", "system": "s"}, {"messages": []}, {"messages": ["a", "b"]}, {"messages": "a"}]
+    frame = spark.createDataFrame([(i, json.dumps(x), "clash") for i, x in enumerate(records)], "conv_id long, payload string, turn string")
+    got = sorted((tuple(r) for r in chat.from_records(frame).collect()), key=lambda r: r[:2])
+    assert got == [(0, 0, "user", None), (0, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 1, None, None), (1, 2, None, "b")]
+    rest = chat.unknown_records(frame)
+    assert sorted(r["conv_id"] for r in rest.collect()) == [2, 3, 4, 5] and rest.columns == frame.columns
+
+
+def test_chat_layouts_of_tables(spark):
+    lists = spark.createDataFrame(
+        [(1, [("human", "a", 3), ("gpt", "b", 4)], "x"), (2, [], "x"), (3, None, "x")],
+        "conv_id int, conversations array<struct<from:string,value:string,id:int>>, text string")
+    assert [tuple(r) for r in chat.from_rows(lists).orderBy("turn").collect()] == [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    rows = lists.withColumns({"turn": F.lit(7), "role": F.lit(None).cast("string")})
+    assert {tuple(r) for r in chat.from_rows(rows).collect()} == {(c, 7, None, "x") for c in (1, 2, 3)}
+    with pytest.raises(ValueError, match="no layout"):
+        chat.from_rows(lists.drop("conversations"))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body class="has-sidebar">
 <header><h1>Site name</h1><p>Welcome to the best site of all.</p></header><nav><ul><li><a href="/">Home</a><li>More</ul></nav>
 <div id="cookie-banner">We use cookies to make this site better for you. <button>OK</button></div><!-- <p>no</p> -->
