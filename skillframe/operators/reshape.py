@@ -61,6 +61,32 @@ def pivot_wide(
     return wide if fill_num is None else fill_missing(wide, fill_num, fill_str)
 
 
+def pivot_sparse(
+    df: DataFrame, ids: Sequence[str], names_from: str, values_from: Sequence[str], agg: Callable[[Column], Column] = na_sum, out: str = "cells"
+) -> DataFrame:
+    """One row per ``ids`` with the cells that have rows, for any number of names, known or not.
+
+    ``out`` is an array of structs (name, then one field per value column), sorted by name, missing last; ``sparse_cell``
+    reads one of them. The names are never listed anywhere; a row holds those of its own ids. Cells are added up before
+    rows are put together, so a hot id costs what its distinct names cost.
+    """
+    if "name" in values_from:
+        raise ValueError("the field name is taken by the names: rename the value column")
+    keys = [F.col(c).alias(f"__k{i}") for i, c in enumerate(ids)]
+    cells = df.groupBy(*keys, F.col(names_from).alias("__name")).agg(*[agg(v).alias(f"__v{i}") for i, v in enumerate(values_from)])
+    fields = [F.col("__name").alias("name"), *[F.col(f"__v{i}").alias(v) for i, v in enumerate(values_from)]]
+    sort = F.struct(F.col("__name").isNull().alias("last"), F.col("__name").alias("by"), F.struct(*fields).alias("cell"))
+    rows = cells.groupBy(*[f"__k{i}" for i in range(len(ids))]).agg(F.array_sort(F.collect_list(sort)).alias("__cells"))
+    return rows.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(ids)], F.transform("__cells", lambda x: x["cell"]).alias(out))
+
+
+def sparse_cell(cells: Column | str, name: object, value: str, fill: object = 0) -> Column:
+    """A value of one name (None: missing) of ``pivot_sparse``; cells without rows and missing values are filled."""
+    here = F.filter(cells, lambda x: x["name"].eqNullSafe(F.lit(name)))
+    found = F.get(F.transform(here, lambda x: x[value]), F.lit(0))
+    return found if fill is None else F.coalesce(found, F.lit(fill))
+
+
 def _cell(agg: Callable[[Column], Column], here: str, value: str) -> Column:
     inside = f"CASE WHEN {here} THEN {sqltext.name(value)} END"
     if agg is na_sum:

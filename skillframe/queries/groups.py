@@ -8,7 +8,7 @@ from ..functions.nulls import na_sum, paste
 from ..operators.joins import equi_join, natural_join
 from ..operators.lookup import Clause, Rule, classify
 from ..operators.ranking import dense_rank_id, top1, zscore
-from ..operators.reshape import contained, membership, ordered_concat, pivot_wide
+from ..operators.reshape import contained, membership, ordered_concat, pivot_sparse, pivot_wide, sparse_cell
 from ..plans.results import results_by_map as map_results
 from ..plans.results import results_by_match as match_results
 from . import table
@@ -88,6 +88,16 @@ def membership_search(spark, sf):
     return contained(lineups(spark, sf), "lineup", member_roles(spark, sf), "player_role")
 
 
+def pivot_many_names(spark, sf):
+    """Quantity per supplier and part, a cell per part that the supplier has; flag R counts as a part of no name."""
+    line = table(spark, sf, "lineitem").select(
+        "l_suppkey", F.when(F.col("l_returnflag") != "R", F.col("l_partkey")).alias("part"), F.col("l_quantity").cast("long").alias("quantity"))
+    wide = pivot_sparse(line, ["l_suppkey"], "part", ["quantity"])
+    shown = F.transform("cells", lambda c: F.concat_ws("=", F.coalesce(c["name"].cast("string"), F.lit("none")), c["quantity"].cast("string")))
+    return wide.select("l_suppkey", F.array_join(shown, ";").alias("cells"), F.size("cells").cast("long").alias("n_names"),
+                       sparse_cell("cells", 7, "quantity").alias("part_7"), sparse_cell("cells", None, "quantity").alias("no_part"))
+
+
 def distinct_values(spark, sf):
     return member_roles(spark, sf).select("player_role").distinct()
 
@@ -165,6 +175,7 @@ QUERIES = {
     "lineup_string": lineup_string,
     "membership_design": membership_design,
     "membership_search": membership_search,
+    "pivot_many_names": pivot_many_names,
     "distinct_values": distinct_values,
     "pivot_sum_fill": pivot_sum_fill,
     "pivot_multi_value": pivot_multi_value,
@@ -252,6 +263,12 @@ ORACLES = {
     "membership_design": f"""{_ROLES}
         SELECT DISTINCT lineup, player_role
         FROM (SELECT lineup, unnest(string_split(lineup, ';')) AS player_role FROM lineups)""",
+    "pivot_many_names": """
+        SELECT l_suppkey, string_agg(coalesce(part::VARCHAR, 'none') || '=' || q, ';' ORDER BY part NULLS LAST) AS cells,
+               count(*) AS n_names, coalesce(max(q) FILTER (part = 7), 0)::BIGINT AS part_7,
+               coalesce(max(q) FILTER (part IS NULL), 0)::BIGINT AS no_part
+        FROM (SELECT l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_partkey END AS part, sum(l_quantity::BIGINT)::BIGINT AS q
+              FROM lineitem GROUP BY ALL) GROUP BY l_suppkey""",
     "membership_search": f"""{_ROLES}
         SELECT lineup, player_role FROM (SELECT DISTINCT lineup FROM lineups) JOIN (SELECT DISTINCT player_role FROM roles)
              ON contains(lineup, player_role)""",

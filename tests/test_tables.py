@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skillframe.operators import ranges
 from skillframe.operators.joins import equi_join, interval_join, natural_join, theta_join
 from skillframe.operators.ranking import dense_rank_id, first_by, top1, zscore
-from skillframe.operators.reshape import across, contained, membership, ordered_concat, pivot_wide, sum_numeric
+from skillframe.operators.reshape import across, contained, membership, ordered_concat, pivot_sparse, pivot_wide, sparse_cell, sum_numeric
 from skillframe.operators.sides import other_side, signed_mean, two_sided
 
 
@@ -177,6 +177,24 @@ def test_contained_by_character_runs(spark):
     assert contained(left.limit(0), "lineup", right, "lineup").count() == 0
 
 
+def test_sparse_pivot(spark):
+    df = spark.createDataFrame(
+        [("a", "x", 1, 1.0), ("a", "x", 2, None), ("a", None, 5, 2.0), ("a", "NA", 7, 3.0), (None, "y", 1, 1.0)], "name string, hero string, n int, v double")
+    got = {r["name"]: [tuple(c) for c in r["cells"]] for r in pivot_sparse(df, ["name"], "hero", ["n", "v"]).collect()}
+    assert got == {"a": [("NA", 7, 3.0), ("x", 3, None), (None, 5, 2.0)], None: [("y", 1, 1.0)]}
+    wide = pivot_sparse(df, ["name"], "hero", ["n", "v"]).where("name = 'a'")
+    cells = [("x", "n", 0), ("x", "v", 0.0), ("x", "v", None), (None, "n", 0), ("NA", "n", 0), ("z", "n", 0), ("z", "n", None)]
+    assert list(wide.select(*[sparse_cell("cells", *c).alias(str(i)) for i, c in enumerate(cells)]).first()) == [3, 0.0, None, 5, 7, 0, None]
+    with pytest.raises(ValueError):
+        pivot_sparse(df, ["hero"], "hero", ["name"])
+
+
+def test_sparse_pivot_of_many_names(spark):
+    df = spark.range(300_000).selectExpr("id % 7 AS team", "'n' || (id % 100000) AS name", "id AS v")
+    got = pivot_sparse(df, ["team"], "name", ["v"]).selectExpr("sum(size(cells)) AS n", "sum(aggregate(cells, 0L, (s, c) -> s + c.v)) AS v")
+    assert tuple(got.first()) == (df.select("team", "name").distinct().count(), 300_000 * 299_999 // 2)
+
+
 def test_across_and_numeric_sums(spark):
     df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None)], "k string, x int, deaths_a double")
     assert tuple(across(df, lambda c: c.startswith("deaths"), lambda c: c * 0).first()) == ("a", 1, 0.0)
