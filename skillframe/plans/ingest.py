@@ -10,7 +10,7 @@ from ..functions.nulls import not_in_keep_null, paste
 from ..operators.joins import interval_join
 from ..operators.lookup import apply_corrections, relabel
 from ..operators.ranking import dense_rank_id
-from ..sources.files import conform, read_dialects, read_text_csv
+from ..sources.files import conform, read_dialects, read_text_csv, refused_cells, refused_in_dialects
 from .fixed import (
     EXHIBITIONS,
     HEROES,
@@ -33,6 +33,13 @@ def read_players(spark: SparkSession, folder: str) -> DataFrame:
     return read_dialects(spark, folder, PLAYER_DIALECTS, PLAYER_DEFAULT, PLAYER_SCHEMA, exclude=[ROUND_FILE])
 
 
+def read_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of the round and player files that hold text but no readable value: file_name, column_name, cell."""
+    rounds = refused_cells(read_text_csv(spark, f"{folder}/{ROUND_FILE}"), ROUND_DIALECT, ROUND_SCHEMA)
+    players = refused_in_dialects(spark, folder, PLAYER_DIALECTS, PLAYER_DEFAULT, PLAYER_SCHEMA, exclude=[ROUND_FILE])
+    return rounds.unionByName(players)
+
+
 def read_patches(spark: SparkSession, path: str) -> DataFrame:
     """Patch calendar with true dates."""
     raw = read_text_csv(spark, path)

@@ -10,14 +10,18 @@ from . import ingest, lineups, results, roles, scores
 
 
 def run(
-    spark: SparkSession, source: str, patches: str, target: str, bounds: str = "whole_day", tol: float = 1e-4
+    spark: SparkSession, source: str, patches: str, target: str, bounds: str = "whole_day", tol: float = 1e-4,
+    refused: bool = False,
 ) -> None:
     """Read the CSV files in ``source`` and the patch calendar, write every table and the model to ``target``.
 
+    ``refused`` also writes ``refused_cells``, the cells that could not be read, in a further pass over the files.
     Each stage starts from the written table of the one before, so a lost executor costs one stage at most.
     """
     with scratch(configure(spark)):
         _write_all(spark, source, patches, target, bounds, tol)
+        if refused:
+            write_table(ingest.read_refused(spark, source), target, "refused_cells")
 
 
 def _write_all(

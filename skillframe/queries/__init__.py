@@ -12,19 +12,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from . import balance, columns, groups, models, ratings, tables
+    from . import balance, columns, files, groups, models, ratings, tables
 
     found: dict[str, Query] = {}
-    for module in (columns, tables, groups, models, ratings, balance):
+    for module in (columns, files, tables, groups, models, ratings, balance):
         for name, fn in module.QUERIES.items():
             found[name] = _configured(fn)
     return found
 
 
 def all_oracles() -> dict[str, str]:
-    from . import balance, columns, groups, models, ratings, tables
+    from . import balance, columns, files, groups, models, ratings, tables
 
-    return {k: v for m in (columns, tables, groups, models, ratings, balance) for k, v in m.ORACLES.items()}
+    return {k: v for m in (columns, files, tables, groups, models, ratings, balance) for k, v in m.ORACLES.items()}
 
 
 def _configured(fn: Query) -> Query:

@@ -65,6 +65,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed with the enclosing ``scratch`` block like what ``materialize`` writes."""
+    folder = _scope.get() or spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/skillframe/{folder}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -73,7 +79,6 @@ def materialize(df: DataFrame, codec: str | None = None) -> DataFrame:
     one they belong to the application's folder.
     """
     spark = df.sparkSession
-    folder = _scope.get() or spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/skillframe/{folder}/{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
