@@ -116,20 +116,23 @@ def gramian(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     return out
 
 
-def independent(gram: np.ndarray, tolerance: float = 1e-9) -> list[int]:
-    """Indexes of the columns that are not linear combinations of earlier ones."""
+def independent(gram: np.ndarray, tolerance: float = 1e-9, norms: np.ndarray | None = None) -> list[int]:
+    """Indexes of the columns that are not linear combinations of earlier ones.
+
+    ``norms`` gives the columns' squared lengths where ``gram`` holds what other columns have left of them.
+    """
     kept: list[int] = []
     basis = np.zeros((0, 0))
     for j in range(gram.shape[0]):
-        norm = gram[j, j]
+        norm = gram[j, j] if norms is None else norms[j]
         if norm <= 0:
             continue
         if kept:
             cross = gram[np.ix_(kept, [j])][:, 0]
             half = np.linalg.solve(basis, cross)
-            rest = norm - half @ half
+            rest = gram[j, j] - half @ half
         else:
-            half, rest = np.zeros(0), norm
+            half, rest = np.zeros(0), gram[j, j]
         if rest <= tolerance * norm:
             continue
         grown = np.zeros((len(kept) + 1, len(kept) + 1))

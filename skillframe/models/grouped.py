@@ -130,6 +130,16 @@ def _normal_equations(cells: DataFrame, state: DataFrame | None, terms: Sequence
     return whole.selectExpr("__g", *[f"e.{c} AS __{c}" for c in ("ta", "pa", "tb", "pb", "s")])
 
 
+def system(off, ta, pa, tb, pb, s) -> tuple[np.ndarray, np.ndarray, float]:
+    """Matrix, right side and deviance of a group from its row of ``_normal_equations``."""
+    matrix, right = np.zeros((off[-1], off[-1])), np.zeros(off[-1])
+    rows, sides = (ta >= 0) & (tb >= 0), (ta >= 0) & (tb < 0)
+    i, j = off[ta[rows]] + pa[rows], off[tb[rows]] + pb[rows]
+    matrix[i, j] = matrix[j, i] = s[rows]
+    right[off[ta[sides]] + pa[sides]] = s[sides]
+    return matrix, right, float(s[ta < 0][0])
+
+
 def _solved(equations: DataFrame, lists: Sequence[str], k: int, max_iter: int, tol: float) -> DataFrame:
     """The groups' next coefficients, or their errors where they have converged or this was the last round."""
     texts = [c for c in lists if c.startswith("l")]
@@ -137,13 +147,8 @@ def _solved(equations: DataFrame, lists: Sequence[str], k: int, max_iter: int, t
     schema = ", ".join(f"{c} {kinds[c]}" for c in ("__g", *texts)) + f", {_STATE}"
 
     def step(off, ta, pa, tb, pb, s, beta, kept, before):
-        size = off[-1]
-        matrix, right = np.zeros((size, size)), np.zeros(size)
-        rows, sides = (ta >= 0) & (tb >= 0), (ta >= 0) & (tb < 0)
-        i, j = off[ta[rows]] + pa[rows], off[tb[rows]] + pb[rows]
-        matrix[i, j] = matrix[j, i] = s[rows]
-        right[off[ta[sides]] + pa[sides]] = s[sides]
-        dev = float(s[ta < 0][0])
+        matrix, right, dev = system(off, ta, pa, tb, pb, s)
+        size = len(right)
         if k == 0:
             kept = np.array(independent(matrix), dtype=int)
         done = k > 1 and abs(dev - before) <= tol * (abs(dev) + 0.1)
