@@ -38,14 +38,17 @@ class LogitFit:
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        self.coef_df(spark).write.mode("overwrite").parquet(f"{path}/coefficients")
+        coefs = self.coef_df(spark).withColumn("converged", F.lit(self.converged))
+        coefs.write.mode("overwrite").parquet(f"{path}/coefficients")
 
 
 def load_fit(spark: SparkSession, path: str) -> LogitFit:
     coefs = spark.read.parquet(f"{path}/coefficients")
+    flag = coefs.select("converged").first() if "converged" in coefs.columns else None
+    coefs = coefs.drop("converged")
     group = coefs.columns[5] if len(coefs.columns) > 5 else None
     model = GeneralizedLinearRegressionModel.load(f"{path}/model")
-    return LogitFit(model, [tuple(r) for r in coefs.collect()], group)
+    return LogitFit(model, [tuple(r) for r in coefs.collect()], group, bool(flag[0]) if flag else True)
 
 
 def fit_logit(

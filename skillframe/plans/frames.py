@@ -64,6 +64,12 @@ def season(stage: str | Column = "stage", seasons: Sequence[str] = SEASONS) -> C
     return first_contained(stage, seasons)
 
 
+def seasons_of(results: DataFrame) -> tuple[str, ...]:
+    """The years that stage names hold, in order: what ``seasons`` takes to leave no season out."""
+    year = F.regexp_extract("stage", r"(?<!\d)((?:19|20)\d{2})(?!\d)", 1).alias("year")
+    return tuple(sorted(r["year"] for r in results.select(year).where("year <> ''").distinct().collect()))
+
+
 def model_frame(results: DataFrame, stats: DataFrame, drop_draws: bool, seasons: Sequence[str] = SEASONS) -> DataFrame:
     """Each map from both sides with that side's statistics, the outcome and the season (NULL outside ``seasons``)."""
     sides = results.select(*RESULT_COLUMNS).withColumn(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..models.design import Term
 from ..models.glm import LogitFit, fit_logit, fit_logit_by, score_link, score_map_advantage
 from ..operators.ranking import zscore
 from ..session import materialize
-from .fixed import NEUTRAL_MAP_TYPE, PLAYER_STATS, SUBROLES
+from .fixed import NEUTRAL_MAP_TYPE, PLAYER_STATS, SEASONS, SUBROLES
 from .frames import model_frame, player_stats_wide, slug, team_stats
 
 FLAG = "first_attacker_flg"
@@ -18,8 +20,10 @@ MODEL_STATS = [f"{slug(s)}_{r}" for s in PLAYER_STATS for r in SUBROLES]
 WIN_TERMS = [MAP_TERM, *[Term(s, "year") for s in MODEL_STATS]]
 
 
-def team_frame(results: DataFrame, player_stats: DataFrame, subroles: DataFrame) -> DataFrame:
-    return model_frame(results, team_stats(player_stats, subroles), drop_draws=True)
+def team_frame(
+    results: DataFrame, player_stats: DataFrame, subroles: DataFrame, seasons: Sequence[str] = SEASONS
+) -> DataFrame:
+    return model_frame(results, team_stats(player_stats, subroles), drop_draws=True, seasons=seasons)
 
 
 def fit_win_model(frame: DataFrame) -> LogitFit:
@@ -32,9 +36,11 @@ def coefficients_by_season(frame: DataFrame) -> DataFrame:
     return fit_logit_by(frame, "win", [MAP_TERM, *[Term(s) for s in MODEL_STATS]], "year")
 
 
-def stat_scores(results: DataFrame, player_stats: DataFrame, subroles: DataFrame, fit: LogitFit) -> DataFrame:
+def stat_scores(
+    results: DataFrame, player_stats: DataFrame, subroles: DataFrame, fit: LogitFit, seasons: Sequence[str] = SEASONS
+) -> DataFrame:
     """Log-odds each player's own statistics add, the same scaled within the subrole, and the map's own share."""
-    frame = model_frame(results, player_stats_wide(player_stats, subroles), drop_draws=False)
+    frame = model_frame(results, player_stats_wide(player_stats, subroles), drop_draws=False, seasons=seasons)
     scored = score_link(frame, fit, WIN_TERMS, "score", {FLAG: 0.0})
     neutral = F.col("map_type") == NEUTRAL_MAP_TYPE
     scored = score_map_advantage(scored, fit, WIN_TERMS, MODEL_STATS, neutral, "map_adv_score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..functions import sqltext
 from ..models.design import Term, complete_cases, split_term
 from ..models.glm import LogitFit, fit_logit, link_expr
 from ..models.mixed import VARIANCE_FLOOR, CrossedFit, fit_crossed_logit
-from ..models.ridge import best_lambda
+from ..models.ridge import best_lambda, penalty_scale
 from ..models.ridge import ridge_cv as cross_validate
 from ..models.ridge import ridge_fit as solve
 from ..operators.joins import equi_join
@@ -45,7 +47,8 @@ def logit_balance(frame: DataFrame, label: str, terms: list[Term], fit: LogitFit
 
 
 def crossed_balance(frame: DataFrame, y: str, fixed_term: Term, groups: tuple[str, str], fit: CrossedFit) -> DataFrame:
-    """What a further step would move each effect, in deviations: the penalised score equation of every group."""
+    """What a further step would move each effect, in deviations: the penalised score equation of every group; and the group
+    ``(variance)``: by what share the effects and their errors put the deviation off the fit's."""
     number, factor = split_term(frame, fixed_term)
     names = [y, *groups, number, *([factor] if factor else [])]
     rows = frame.select(*names).dropna()
@@ -58,13 +61,18 @@ def crossed_balance(frame: DataFrame, y: str, fixed_term: Term, groups: tuple[st
     rows = materialize(rows.withColumn("__p", p))
     parts = []
     for i, g in enumerate(groups):
-        precision, deviation = 1 / fit.variances[g], max(fit.variances[g], VARIANCE_FLOOR) ** 0.5
-        sums = rows.groupBy(F.lit(g).alias("grpvar"), F.col(g).alias("grp")).agg(
+        variance, precision = fit.variances[g], sqltext.literal(1 / fit.variances[g])
+        deviation = sqltext.literal(max(variance, VARIANCE_FLOOR) ** 0.5)
+        sums = materialize(rows.groupBy(F.lit(g).alias("grpvar"), F.col(g).alias("grp")).agg(
             F.count("*").alias("n"), F.sum(F.col(y).cast("double") - F.col("__p")).alias("s"), F.sum(F.col("__p") * (1 - F.col("__p"))).alias("w"),
-            F.first(f"__e{i}").alias("e"))
-        parts.append(sums.select("grpvar", "grp", "n", _zero(
-            f"(s - e * {sqltext.literal(precision)}) / (w + {sqltext.literal(precision)}) / {sqltext.literal(deviation)}", 2).alias("gap")))
-    return parts[0].unionByName(parts[1])
+            F.first(f"__e{i}").alias("e")))
+        parts.append(sums.select("grpvar", "grp", "n", _zero(f"(s - e * {precision}) / (w + {precision}) / {deviation}", 2).alias("gap")))
+        # From effects one step on, so that effects held at 0 against the data show.
+        step = sums.selectExpr("n", f"(s + w * e) / (w + {precision}) AS e", f"{precision} / (w + {precision}) AS shrunk")
+        estimate = f"greatest(sum(e * e) / greatest(sum(1 - shrunk), 1e-12D), {VARIANCE_FLOOR!r}D)"
+        parts.append(step.agg(F.sum("n").alias("n"), _zero(f"sqrt({estimate}) / {deviation} - 1", 1).alias("gap")).select(
+            F.lit(g).alias("grpvar"), F.lit("(variance)").alias("grp"), "n", "gap"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def glm_logit_balance(spark, sf):
@@ -82,16 +90,23 @@ def stat_scores_balance(spark, sf):
     results, log, subroles = order_results(spark, sf), stat_log(spark, sf), _subroles(spark, sf)
     fit = scores.fit_win_model(scores.team_frame(results, log, subroles))
     wide = scores.model_frame(results, scores.player_stats_wide(log, subroles), drop_draws=False)
-    long = wide.select("year", "subrole", "map_id", "map_type", "player", "player_team", F.explode(F.array(*[
+    long = wide.select("year", "subrole", "map_id", "map_type", "player", "player_team", scores.FLAG, F.explode(F.array(*[
         F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("v")) for s in scores.MODEL_STATS])).alias("x"))
     coefs = fit.coef_df(spark).select("term", F.coalesce("estimate", F.lit(0.0)).alias("estimate"))
     key = ["year", "subrole", "map_id", "map_type", "player", "player_team"]
     summed = long.join(coefs, F.concat(F.col("x.stat"), F.lit(":year"), F.col("year")) == F.col("term"), "left").groupBy(*key).agg(
-        F.expr("sum(estimate * x.v) AS expected"))
-    scored = scores.stat_scores(results, log, subroles, fit).select(*key, "score")
-    both = equi_join(scored, summed, key)
-    return both.groupBy("year", "subrole").agg(
-        F.count("*").alias("n"), F.expr("round(coalesce(max(abs(score - expected)), 0D), 6) + 0D AS gap"))
+        F.expr("sum(estimate * x.v) AS expected"), F.first(scores.FLAG).alias("flag"))
+    flag = F.concat(F.lit("map_type"), F.col("map_type"), F.lit(f":{scores.FLAG}")) == F.col("term")
+    advantage = F.when(F.col("map_type") == fixed.NEUTRAL_MAP_TYPE, F.lit(0.0)).otherwise(F.expr("estimate * flag"))
+    summed = materialize(summed.join(coefs, flag, "left").select(*key, "expected", advantage.alias("advantage")))
+    scored = scores.stat_scores(results, log, subroles, fit).select(*key, "score", "scaled_score", "map_adv_score")
+    spread = summed.groupBy("subrole").agg(F.avg("expected").alias("mean"), F.stddev_samp("expected").alias("sd"))
+    both = equi_join(equi_join(scored, summed, key), spread, ["subrole"])
+    pairs = {"gap": ("score", "expected"), "scaled_gap": ("scaled_score", "(expected - mean) / nullif(sd, 0D)"),
+             "map_gap": ("map_adv_score", "advantage")}
+    return both.groupBy("year", "subrole").agg(F.count("*").alias("n"), *[
+        F.expr(f"round(max(CASE WHEN isnull({a}) <> isnull({b}) THEN 1D ELSE coalesce(abs({a} - {b}), 0D) END), 6) + 0D AS {out}")
+        for out, (a, b) in pairs.items()])
 
 
 def mixed_intercepts_balance(spark, sf):
@@ -109,14 +124,16 @@ def on_off_lineup_balance(spark, sf):
 
 
 def on_off_player_balance(spark, sf):
-    """Normal equations of the ridge: weighted residual on each member less its penalty, in units of the response."""
+    """Normal equations of the ridge as ``player_scores`` fits it: weighted residual on each member less its penalty, in units of the response."""
     frame = _paired(spark, sf)
     rated = materialize(lineups.lineup_scores(frame))
     roles = frame.select(F.explode(F.split("lineup", ";")).alias("player_role")).distinct()
     members = materialize(membership(rated, "lineup", ";", "exact", roles))
     targets = rated.select("lineup", "estimate", F.col("n").cast("double").alias("n"))
-    penalty = best_lambda(cross_validate(members, targets, lambda_scale="none"))
-    fit = solve(members, targets, penalty, "none")
+    best = best_lambda(cross_validate(members, targets, lambda_scale="response_sd"))
+    fit = solve(members, targets, best, "response_sd")
+    squares, mean = targets.agg(F.expr("sum(n * estimate * estimate) / sum(n)"), F.expr("sum(n * estimate) / sum(n)")).first()
+    penalty = best * penalty_scale(squares, mean, "response_sd")
     who, lineup = members.columns[1], members.columns[0]
     listed = members.select(F.col(lineup).alias("lineup"), F.col(who).alias("member")).distinct()
     predicted = listed.join(fit, "member").groupBy("lineup").agg(F.sum("estimate").alias("fitted"))
@@ -170,13 +187,15 @@ ORACLES = {
         SELECT 'map_type' || map_type || ':first_attacker_flg' AS term, count(*) AS n, 0::DOUBLE AS score
         FROM usable GROUP BY map_type UNION ALL {_STAT_TERMS}""",
     "stat_scores_balance": f"""WITH frame AS ({RATINGS['player_model_frame']})
-        SELECT year, subrole, count(*) AS n, 0::DOUBLE AS gap FROM frame GROUP BY ALL""",
+        SELECT year, subrole, count(*) AS n, 0::DOUBLE AS gap, 0::DOUBLE AS scaled_gap, 0::DOUBLE AS map_gap FROM frame GROUP BY ALL""",
     "mixed_intercepts_balance": f"""WITH {_ROWS}
         SELECT 'source' AS grpvar, source AS grp, count(*) AS n, 0::DOUBLE AS gap FROM labelled GROUP BY source
-        UNION ALL SELECT 'lang', lang, count(*), 0 FROM labelled GROUP BY lang""",
+        UNION ALL SELECT 'lang', lang, count(*), 0 FROM labelled GROUP BY lang
+        UNION ALL SELECT unnest(['source', 'lang']), '(variance)', count(*), 0 FROM labelled""",
     "on_off_lineup_balance": f"""WITH {_TYPES}
         SELECT 'lineup' AS grpvar, lineup AS grp, count(*) AS n, 0::DOUBLE AS gap FROM usable GROUP BY lineup
-        UNION ALL SELECT 'lineup_opponent', lineup_opponent, count(*), 0 FROM usable GROUP BY lineup_opponent""",
+        UNION ALL SELECT 'lineup_opponent', lineup_opponent, count(*), 0 FROM usable GROUP BY lineup_opponent
+        UNION ALL SELECT unnest(['lineup', 'lineup_opponent']), '(variance)', count(*), 0 FROM usable""",
     "on_off_player_balance": f"""WITH {_TYPES},
         rated AS (SELECT DISTINCT player_team, lineup FROM paired
                   WHERE lineup IN (SELECT lineup FROM usable UNION SELECT lineup_opponent FROM usable)),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..models.design import Term
@@ -11,7 +14,9 @@ from ..models.grouped import fit_logit_groups
 from ..models.mixed import fit_crossed_logit
 from ..models.ridge import ridge_cv as cross_validate
 from ..models.ridge import ridge_fit as solve
+from ..models.wide import fit_logit_wide
 from ..operators.joins import equi_join
+from ..session import materialize
 from . import table
 
 RIDGE_LAMBDA = 0.1
@@ -68,7 +73,8 @@ def score_map_adv(spark, sf):
 
 def glm_logit(spark, sf):
     terms = [Term("lang", "one"), Term("log_size", "lang"), Term("toxic", "lang")]
-    return fit_logit(labelled(spark, sf), "quality", terms).coef_df(spark)
+    fit = fit_logit(labelled(spark, sf), "quality", terms)
+    return fit.coef_df(spark).withColumn("converged", F.lit(fit.converged))
 
 
 def mixed_intercepts(spark, sf):
@@ -76,10 +82,10 @@ def mixed_intercepts(spark, sf):
     return fit.effects
 
 
-def returns(spark, sf):
+def returns(spark, sf, *more):
     """Lines with whether they were returned, their share of the largest quantity, and a two-valued size class."""
     return table(spark, sf, "lineitem").select(
-        "l_partkey", "l_suppkey", F.expr("int(l_returnflag = 'R')").alias("returned"), F.lit(1.0).alias("one"),
+        "l_partkey", "l_suppkey", *more, F.expr("int(l_returnflag = 'R')").alias("returned"), F.lit(1.0).alias("one"),
         (F.col("l_quantity") / 50).alias("share"), F.when(F.col("l_quantity") > 25, "large").otherwise("small").alias("size"),
     )
 
@@ -104,6 +110,28 @@ def glm_groups_balance(spark, sf):
     return sums
 
 
+def glm_wide_balance(spark, sf):
+    """A fit with an intercept per order, of orders with both outcomes: per term the number of rows, whether it has an
+    estimate, and the sum of residuals times its column, which is 0 at the maximum. Orders and size classes add up to the
+    same, so the last class has none."""
+    rows = returns(spark, sf, "l_orderkey").withColumn("l_orderkey", F.concat(F.lit("o"), "l_orderkey"))
+    both = rows.groupBy("l_orderkey").agg(F.min("returned").alias("low"), F.max("returned").alias("high")).where("low < high")
+    usable = materialize(equi_join(rows, both.drop("low", "high"), ["l_orderkey"], nullsafe=False))
+    terms = [Term("one", "l_orderkey"), Term("share"), Term("one", "size")]
+    coefs = materialize(fit_logit_wide(usable, "returned", terms, "l_orderkey"))
+    own = coefs.where("term LIKE 'one:l_orderkey%'").select(F.expr("substr(term, 15)").alias("l_orderkey"), F.col("estimate").alias("b"))
+    found = {r["term"]: r["estimate"] for r in coefs.where("term NOT LIKE 'one:l_orderkey%'").collect()}  # three terms
+    share, large, small = (found.get(t) or 0.0 for t in ("share", "one:sizelarge", "one:sizesmall"))
+    eta = f"b + {share!r}D * share + CASE size WHEN 'large' THEN {large!r}D ELSE {small!r}D END"
+    gaps = materialize(equi_join(usable, own, ["l_orderkey"]).withColumn("gap", F.expr(f"returned - 1 / (1 + exp(-({eta})))")))
+    parts = [("share", "share", "1 = 1"), ("one:sizelarge", "1", "size = 'large'"), ("one:sizesmall", "1", "size = 'small'")]
+    narrow = [gaps.where(cells).agg(F.count("*").alias("n"), F.expr(f"round(sum({x} * gap), 2) + 0D AS score")).select(
+        F.lit(term).alias("term"), "n", F.lit(found.get(term) is not None).alias("known"), "score") for term, x, cells in parts]
+    each = gaps.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.first("b").isNotNull().alias("known"), F.expr("round(sum(gap), 3) + 0D AS score"))
+    each = each.select(F.concat(F.lit("one:l_orderkey"), "l_orderkey").alias("term"), "n", "known", "score")
+    return reduce(DataFrame.unionByName, [each, *narrow])
+
+
 def one_hot_members(spark, sf):
     """Each supplier as a group with one member, its nation; value is the mean quantity, weight the line count."""
     line = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
@@ -131,6 +159,7 @@ QUERIES = {
     "glm_by_group": glm_by_group,
     "glm_groups": glm_groups,
     "glm_groups_balance": glm_groups_balance,
+    "glm_wide_balance": glm_wide_balance,
     "coef_band": coef_band,
     "score_link": score_link,
     "score_map_adv": score_map_adv,
@@ -173,6 +202,13 @@ ORACLES = {
               FROM lineitem GROUP BY ALL) WHERE p > 0 AND p < 1""",
     "glm_groups_balance": """
         SELECT l_suppkey, count(*) AS n, 0::DOUBLE AS score_one, 0::DOUBLE AS score_share FROM lineitem GROUP BY l_suppkey""",
+    "glm_wide_balance": """
+        WITH both_ways AS (SELECT *, count(*) OVER w AS n, avg((l_returnflag = 'R')::INT) OVER w AS p FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)),
+             usable AS (SELECT * FROM both_ways WHERE p > 0 AND p < 1)
+        SELECT 'one:l_orderkeyo' || l_orderkey AS term, n, true AS known, 0::DOUBLE AS score FROM usable GROUP BY l_orderkey, n
+        UNION ALL SELECT 'share', count(*), true, 0 FROM usable
+        UNION ALL SELECT 'one:sizelarge', count(*), true, 0 FROM usable WHERE l_quantity > 25
+        UNION ALL SELECT 'one:sizesmall', count(*), false, 0 FROM usable WHERE NOT l_quantity > 25""",
     "coef_band": f"""WITH {_LABELLED}
         SELECT lang, round(ln(p / (1 - p)), 4) AS estimate,
                round(ln(p / (1 - p)) - 1 / sqrt(n * p * (1 - p)), 4) AS lower,

@@ -101,6 +101,10 @@ def test_fit_survives_the_disk(spark, tmp_path):
     fit = fit_logit(df, "win", TERMS)
     fit.save(spark, str(tmp_path / "m"))
     again = load_fit(spark, str(tmp_path / "m"))
+    assert again.converged == fit.converged
+    fit.converged = False
+    fit.save(spark, str(tmp_path / "open"))
+    assert not load_fit(spark, str(tmp_path / "open")).converged
     assert sorted(again.rows) == sorted(fit.rows)
     assert again.model.coefficients.toArray().tolist() == fit.model.coefficients.toArray().tolist()
 

@@ -166,3 +166,15 @@ def test_lineup_and_player_ratings(out):
     by_team = {t: [r["score"] for r in player_table.where(F.col("players").startswith(t)).collect()] for t in ("Alpha", "Delta")}
     assert sum(by_team["Alpha"]) / len(by_team["Alpha"]) > sum(by_team["Delta"]) / len(by_team["Delta"])
     assert not any(math.isnan(s) for scores in by_team.values() for s in scores)
+
+
+def test_seasons_come_from_the_stages(spark, out):
+    from skillframe.plans.frames import seasons_of
+    from skillframe.plans.lineups import side_players
+
+    later = out("results_by_map").withColumn("stage", F.replace("stage", F.lit("2020"), F.lit("2021")))
+    seasons = seasons_of(later)
+    assert seasons == ("2018", "2019", "2021")
+    years = side_players(later, out("player_stats_subroles"), seasons).select("year").distinct().collect()
+    assert {r["year"] for r in years} == {"2018", "2019", "2021"}
+    assert seasons_of(later.limit(0)) == ()
