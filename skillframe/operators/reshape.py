@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext
 from ..functions.nulls import as_col, fill_missing, na_sum
+from ..session import materialize
 
-#: Characters of the runs by which texts are searched.
-GRAM = 3
+#: Characters of the shortest runs by which long parts are searched.
+GRAM = 4
+#: Parts up to this many rows travel to the texts whole (some 100 bytes each); of more parts only their runs do, up to
+#: ``MAX_BROADCAST_RUNS`` numbers.
+MAX_BROADCAST_PARTS, MAX_BROADCAST_RUNS = 500_000, 4_000_000
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
@@ -148,26 +152,36 @@ def membership(
 def contained(texts: DataFrame, col: str, parts: DataFrame, part: str, size: int = GRAM) -> DataFrame:
     """The pairs (text, part) of distinct values where the part occurs inside the text.
 
-    A part is looked up by the rarest of its runs of ``size`` characters in the texts (the whole part, where it is
-    shorter), so a text meets only the parts whose rarest run it has; those pairs are then compared. Missing values pair
-    with nothing, an empty part with every text (its run is empty). Work grows with the texts' length and the pairs that share a run.
+    A part of up to ``size`` characters is looked up whole, a longer one by one of its runs of ``size`` characters, doubled as
+    often as the part's length allows: the run that the fewest parts have. A text meets the parts whose run it has; those pairs
+    are then compared. Missing values pair with nothing, an empty part with every text. Work grows with the texts' length times
+    the lengths of runs, and with the pairs that share a run; runs go by hash, which decides work, never results.
     """
     texts = texts.select(F.col(col).alias("__text")).where("__text IS NOT NULL").distinct()
-    texts = texts.withColumn("__id", F.expr("unhex(md5(encode(__text, 'UTF-8')))"))
-    parts = parts.select(F.col(part).alias("__part")).where("__part IS NOT NULL").distinct()
-    runs = parts.withColumn("__n", F.least(F.length("__part"), F.lit(size)))
-    runs = runs.selectExpr("__part", "explode(array_distinct(transform(sequence(1, length(__part) - __n + 1), i -> substring(__part, i, __n)))) AS __run")
-    # Runs of the texts are kept only where some part has them.
-    lengths = ", ".join(str(n) for n in range(1, size + 1))
-    places = f"transform(filter(array({lengths}), n -> n <= length(__text)), n -> transform(sequence(1, length(__text) - n + 1), i -> substring(__text, i, n)))"
-    postings = texts.selectExpr("__id", f"explode(array_distinct(concat(array(''), flatten({places})))) AS __run")
-    postings = postings.join(runs.select("__run").distinct(), "__run", "left_semi")
-    counts = postings.groupBy("__run").agg(F.count(F.lit(1)).alias("__texts"))
-    # A run that no text has rules its part out; else the part stands under its rarest run.
-    rarest = runs.join(counts, "__run", "left").groupBy("__part").agg(F.expr("min_by(struct(__run, __texts), struct(coalesce(__texts, 0), __run)) AS r"))
-    keys = rarest.where("r.__texts IS NOT NULL").selectExpr("__part", "r.__run AS __run")
-    found = postings.join(keys, "__run").join(texts, "__id").where("contains(__text, __part)").select("__text", "__part")
-    return found.select(F.col("__text").alias(col), F.col("__part").alias(part))
+    parts = materialize(parts.select(F.col(part).alias("__part")).where("__part IS NOT NULL").distinct())
+    width = f"CASE WHEN length(__part) <= {size} THEN length(__part) ELSE shiftleft({size}, int(log2(length(__part) DIV {size}))) END"
+    runs = parts.selectExpr("__part", f"{width} AS __w").selectExpr("__part", f"explode(array_distinct({_runs('__part', '__w')})) AS __run")
+    shared = runs.groupBy("__run").agg(F.count(F.lit(1)).alias("__parts"))
+    rarest = runs.join(shared, "__run").groupBy("__part").agg(F.expr("min(struct(__parts, __run)) AS r"))
+    keys = materialize(rarest.selectExpr("__part", "r.__run AS __run"))
+    n = keys.count()
+    widths = sorted(r[0] for r in parts.selectExpr(f"{width} AS w").distinct().collect())  # size and some doublings
+    here = ", ".join(f"CASE WHEN length(__text) >= {w} THEN {_runs('__text', str(w))} ELSE array() END" for w in widths or [0])
+    distinct_runs = f"explode(array_distinct(flatten(array({here})))) AS __run"
+    if n <= MAX_BROADCAST_PARTS:
+        met = texts.selectExpr("__text", distinct_runs).join(F.broadcast(keys), "__run")
+    else:
+        texts = materialize(texts.withColumn("__id", F.monotonically_increasing_id()))
+        postings = texts.selectExpr("__id", distinct_runs)
+        if n <= MAX_BROADCAST_RUNS:
+            postings = postings.join(F.broadcast(keys.select("__run").distinct()), "__run", "left_semi")
+        met = postings.join(keys, "__run").join(texts, "__id")
+    return met.where("contains(__text, __part)").select(F.col("__text").alias(col), F.col("__part").alias(part))
+
+
+def _runs(text: str, width: str) -> str:
+    """SQL of the hashes of all runs of ``width`` characters in a text that has as many."""
+    return f"transform(sequence(1, length({text}) - {width} + 1), i -> xxhash64(substring({text}, i, {width})))"
 
 
 #: Patterns per broadcast slice in regex mode.

@@ -11,6 +11,7 @@ from ..operators.ranking import dense_rank_id, top1, zscore
 from ..operators.reshape import contained, membership, ordered_concat, pivot_sparse, pivot_wide, sparse_cell
 from ..plans.results import results_by_map as map_results
 from ..plans.results import results_by_match as match_results
+from ..session import materialize
 from . import table
 
 FLAGS = ["A", "N", "R"]
@@ -72,7 +73,11 @@ def member_roles(spark, sf):
 
 
 def lineups(spark, sf):
-    return ordered_concat(member_roles(spark, sf), ["l_orderkey"], "player_role", ["l_suppkey"], ";", "lineup")
+    return _lineups(member_roles(spark, sf))
+
+
+def _lineups(roles):
+    return ordered_concat(roles, ["l_orderkey"], "player_role", ["l_suppkey"], ";", "lineup")
 
 
 def lineup_string(spark, sf):
@@ -85,7 +90,8 @@ def membership_design(spark, sf):
 
 def membership_search(spark, sf):
     """Every role that occurs inside a lineup's text, as a whole member or inside a longer one."""
-    return contained(lineups(spark, sf), "lineup", member_roles(spark, sf), "player_role")
+    roles = materialize(member_roles(spark, sf))
+    return contained(_lineups(roles), "lineup", roles, "player_role")
 
 
 def pivot_many_names(spark, sf):

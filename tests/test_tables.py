@@ -177,6 +177,23 @@ def test_contained_by_character_runs(spark):
     assert contained(left.limit(0), "lineup", right, "lineup").count() == 0
 
 
+def test_contained_meets_few_parts_that_share_their_ends(spark, monkeypatch):
+    """Names that differ by a number between equal ends: as many candidates as pairs, not all texts by all parts of an ending."""
+    from skillframe.operators import reshape
+
+    texts = spark.range(3000).selectExpr("'player_' || id || '_support;player_' || (id + 1) || '_support' AS lineup")
+    parts = spark.range(3001).selectExpr("'player_' || id || '_support' AS part")
+    want = 2 * 3000
+    for bounds in ((500_000, 4_000_000), (10, 4_000_000), (10, 10)):
+        monkeypatch.setattr(reshape, "MAX_BROADCAST_PARTS", bounds[0])
+        monkeypatch.setattr(reshape, "MAX_BROADCAST_RUNS", bounds[1])
+        met, where = [], type(texts).where
+        monkeypatch.setattr(type(texts), "where", lambda df, c: (met.append(df) if "contains(" in str(c) else None, where(df, c))[1])
+        assert contained(texts, "lineup", parts, "part").count() == want
+        monkeypatch.undo()
+        assert met[0].count() <= 3 * want
+
+
 def test_sparse_pivot(spark):
     df = spark.createDataFrame(
         [("a", "x", 1, 1.0), ("a", "x", 2, None), ("a", None, 5, 2.0), ("a", "NA", 7, 3.0), (None, "y", 1, 1.0)], "name string, hero string, n int, v double")
