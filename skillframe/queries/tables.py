@@ -43,13 +43,18 @@ def interval_left_join(spark, sf):
 
 
 def range_left_join(spark, sf):
-    """Lines by the price spans of all parts, two long sides; lines in no span are counted under no part."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    """Lines by the price spans of all parts, two long sides; lines in no span are counted under no part.
+
+    Lines of one price meet the same spans and parts of one price have the same span, so each price and span is met once.
+    """
+    lines = table(spark, sf, "lineitem").groupBy("l_extendedprice").agg(F.count("*").alias("lines"))
     low = F.col("p_retailprice") * 20
     spans = table(spark, sf, "part").select("p_partkey", low.alias("low"), (low + 25).alias("high"))
-    met = theta_join(lines, spans, [("l_extendedprice", ">=", "low"), ("l_extendedprice", "<", "high")])
-    return met.groupBy("p_partkey").agg(
-        F.count("*").alias("n"), F.min("l_extendedprice").alias("least"), F.max("l_extendedprice").alias("most"))
+    met = theta_join(lines, spans.select("low", "high").distinct(), [("l_extendedprice", ">=", "low"), ("l_extendedprice", "<", "high")])
+    found = met.groupBy("low", "high").agg(
+        F.sum("lines").alias("n"), F.min("l_extendedprice").alias("least"), F.max("l_extendedprice").alias("most"))
+    return equi_join(found, spans, ["low", "high"], "left", nullsafe=False).groupBy("p_partkey").agg(
+        F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
 
 
 def interval_left_join_day(spark, sf):

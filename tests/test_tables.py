@@ -194,6 +194,21 @@ def test_contained_meets_few_parts_that_share_their_ends(spark, monkeypatch):
         assert met[0].count() <= 3 * want
 
 
+def test_prices_and_spans_meet_once(spark, tmp_path, monkeypatch):
+    """Lines of one price and parts of one price are one row each when the ranges are compared; keys may repeat or miss."""
+    from skillframe.queries import tables
+
+    lines = [(k, p) for k, p in enumerate([100.0] * 40 + [110.0] * 30 + [200.0, 500.0, None, None])]
+    parts = [(1, 5.0), (2, 5.0), (2, 5.0), (None, 5.0), (3, 10.0), (3, 5.5), (4, None), (5, 90.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    met, join = [], tables.theta_join
+    monkeypatch.setattr(tables, "theta_join", lambda *a: met.append(join(*a)) or met[-1])
+    got = {r["p_partkey"]: tuple(r)[1:] for r in tables.range_left_join(spark, str(tmp_path)).collect()}
+    assert got == {1: (70, 100.0, 110.0), 2: (140, 100.0, 110.0), 3: (31, 110.0, 200.0), None: (73, 100.0, 500.0)}
+    assert met[0].count() == 6  # 100 in one span, 110 in two, 200 in one, 500 and the missing price in none
+
+
 def test_sparse_pivot(spark):
     df = spark.createDataFrame(
         [("a", "x", 1, 1.0), ("a", "x", 2, None), ("a", None, 5, 2.0), ("a", "NA", 7, 3.0), (None, "y", 1, 1.0)], "name string, hero string, n int, v double")
