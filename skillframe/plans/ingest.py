@@ -77,7 +77,8 @@ def clean_players(players: DataFrame) -> DataFrame:
 
 def map_id_gaps(rounds: DataFrame, players: DataFrame) -> DataFrame:
     """Map ids that occur on one side only; ids come from game numbers there and from time ranks here."""
-    a, b = rounds.select("map_id").distinct(), players.select("map_id").distinct()
-    only_rounds = a.join(b, "map_id", "left_anti").select("map_id", F.lit("rounds").alias("only_in"))
-    only_players = b.join(a, "map_id", "left_anti").select("map_id", F.lit("players").alias("only_in"))
-    return only_rounds.unionByName(only_players)
+    # One shuffle of both sides' ids; missing ids match nothing, so they are listed for every side that has them.
+    ids = rounds.select("map_id", F.lit("rounds").alias("side")).unionByName(players.select("map_id", F.lit("players").alias("side")))
+    held = ids.groupBy("map_id").agg(F.bool_or(F.col("side") == "rounds").alias("a"), F.bool_or(F.col("side") == "players").alias("b"))
+    sides = F.array_compact(F.array(F.when(F.col("a"), F.lit("rounds")), F.when(F.col("b"), F.lit("players"))))
+    return held.where("map_id IS NULL OR NOT (a AND b)").select("map_id", F.explode(sides).alias("only_in"))

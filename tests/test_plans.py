@@ -178,3 +178,13 @@ def test_seasons_come_from_the_stages(spark, out):
     years = side_players(later, out("player_stats_subroles"), seasons).select("year").distinct().collect()
     assert {r["year"] for r in years} == {"2018", "2019", "2021"}
     assert seasons_of(later.limit(0)) == ()
+
+
+def test_map_id_gaps_shuffle_ids_once_and_list_missing_ids_on_both_sides(spark):
+    rounds = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "map_id string")
+    players = spark.createDataFrame([("b",), ("c",), ("c",), (None,), (None,)], "map_id string")
+    gaps = ingest.map_id_gaps(rounds, players)
+    text = gaps._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+    assert sorted(map(str, gaps.collect())) == sorted(
+        f"Row(map_id={m!r}, only_in={s!r})" for m, s in [("a", "rounds"), ("c", "players"), (None, "rounds"), (None, "players")])
