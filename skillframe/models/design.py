@@ -142,3 +142,14 @@ def independent(gram: np.ndarray, tolerance: float = 1e-9, norms: np.ndarray | N
         basis = grown
         kept.append(j)
     return kept
+
+
+def independent_each(grams: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
+    """For every matrix of a stack, which columns are not linear combinations of earlier ones."""
+    rest, kept = grams.copy(), np.zeros(grams.shape[:2], dtype=bool)
+    for j in range(grams.shape[1]):
+        norm, left = grams[:, j, j], rest[:, j, j]
+        use = kept[:, j] = (norm > 0) & (left > tolerance * norm)
+        share = rest[:, :, j] / np.where(use, left, 1.0)[:, None] * use[:, None]
+        rest -= share[:, :, None] * rest[:, None, j, :]
+    return kept

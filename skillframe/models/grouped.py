@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext
 from ..session import materialize
-from .design import Term, complete_cases, independent, split_term
+from .design import Term, complete_cases, independent_each, split_term
 
 _STATE = ("__off array<int>, __beta array<double>, __se array<double>, __p array<double>, __kept array<int>, "
           "__dev double, __done boolean")
@@ -130,14 +130,31 @@ def _normal_equations(cells: DataFrame, state: DataFrame | None, terms: Sequence
     return whole.selectExpr("__g", *[f"e.{c} AS __{c}" for c in ("ta", "pa", "tb", "pb", "s")])
 
 
-def system(off, ta, pa, tb, pb, s) -> tuple[np.ndarray, np.ndarray, float]:
-    """Matrix, right side and deviance of a group from its row of ``_normal_equations``."""
-    matrix, right = np.zeros((off[-1], off[-1])), np.zeros(off[-1])
-    rows, sides = (ta >= 0) & (tb >= 0), (ta >= 0) & (tb < 0)
-    i, j = off[ta[rows]] + pa[rows], off[tb[rows]] + pb[rows]
-    matrix[i, j] = matrix[j, i] = s[rows]
-    right[off[ta[sides]] + pa[sides]] = s[sides]
-    return matrix, right, float(s[ta < 0][0])
+#: Numbers that a stack of matrices may hold in a task.
+STACK = 2_000_000
+
+
+class Entries:
+    """The entries of ``_normal_equations`` of a batch of groups, one after another: the group's place ``g`` in the batch and ta, pa,
+    tb, pb, s; ``off`` has a row per group."""
+
+    def __init__(self, batch: pd.DataFrame):
+        self.off = np.stack(batch["__off"].to_numpy())
+        self.g = np.repeat(np.arange(len(batch)), batch["__s"].map(len))
+        self.ta, self.pa, self.tb, self.pb, self.s = (np.concatenate(batch[f"__{c}"].to_numpy()) for c in ("ta", "pa", "tb", "pb", "s"))
+
+
+def marked(lists: pd.Series, size: int) -> np.ndarray:
+    """Rows of 0 and 1 that are 1 at the listed places."""
+    out = np.zeros((len(lists), size), dtype=bool)
+    out[np.repeat(np.arange(len(lists)), lists.map(len)), np.concatenate(lists.to_numpy()).astype(int)] = True
+    return out
+
+
+def p_values(b: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Two-sided p-values of the estimates; 1 without an error."""
+    z = np.abs(b) / np.where(e > 0, e, 1.0)
+    return np.where(e > 0, np.array([math.erfc(x / 2**0.5) for x in z.ravel()]).reshape(z.shape), 1.0)
 
 
 def _solved(equations: DataFrame, lists: Sequence[str], k: int, max_iter: int, tol: float) -> DataFrame:
@@ -146,34 +163,53 @@ def _solved(equations: DataFrame, lists: Sequence[str], k: int, max_iter: int, t
     kinds = {f.name: f.dataType.simpleString() for f in equations.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in ("__g", *texts)) + f", {_STATE}"
 
-    def step(off, ta, pa, tb, pb, s, beta, kept, before):
-        matrix, right, dev = system(off, ta, pa, tb, pb, s)
-        size = len(right)
-        if k == 0:
-            kept = np.array(independent(matrix), dtype=int)
-        done = k > 1 and abs(dev - before) <= tol * (abs(dev) + 0.1)
-        part, se, p = matrix[np.ix_(kept, kept)], np.zeros(size), np.ones(size)
-        if done or k == max_iter:
-            se[kept] = np.sqrt(np.maximum(np.diag(np.linalg.pinv(part, hermitian=True)), 0.0)) if len(kept) else 0.0
-            p = np.array([math.erfc(abs(b) / e / 2**0.5) if e > 0 else 1.0 for b, e in zip(beta, se)])
-        else:
-            beta = np.zeros(size)
-            if len(kept):
-                try:
-                    beta[kept] = np.linalg.solve(part, right[kept])
-                except np.linalg.LinAlgError:  # weights of a separated term have run out
-                    beta[kept] = np.linalg.lstsq(part, right[kept], rcond=None)[0]
-        return off, beta, se, p, kept, dev, bool(done)
+    def step(batch: pd.DataFrame) -> pd.DataFrame:
+        """A round of groups that have the same number of coefficients."""
+        e = Entries(batch)
+        n, size = len(batch), int(e.off[0, -1])
+        matrix, right, dev = np.zeros((n, size, size)), np.zeros((n, size)), np.zeros(n)
+        rows, sides = (e.ta >= 0) & (e.tb >= 0), (e.ta >= 0) & (e.tb < 0)
+        g, i, j = e.g[rows], e.off[e.g[rows], e.ta[rows]] + e.pa[rows], e.off[e.g[rows], e.tb[rows]] + e.pb[rows]
+        matrix[g, i, j] = matrix[g, j, i] = e.s[rows]
+        right[e.g[sides], e.off[e.g[sides], e.ta[sides]] + e.pa[sides]] = e.s[sides]
+        dev[e.g[e.ta < 0]] = e.s[e.ta < 0]
+        kept = marked(batch["__kept"], size) if k else independent_each(matrix)
+        done = np.abs(dev - batch["__dev"].to_numpy()) <= tol * (np.abs(dev) + 0.1) if k > 1 else np.zeros(n, dtype=bool)
+        last = done | (k == max_iter)
+        part = matrix * (kept[:, :, None] & kept[:, None, :])
+        beta, se, p = np.zeros((n, size)), np.zeros((n, size)), np.ones((n, size))
+        if last.any():
+            beta[last] = np.stack(batch["__beta"].to_numpy()[last])
+            inverse = np.linalg.pinv(part[last], hermitian=True)
+            se[last] = np.sqrt(np.maximum(np.diagonal(inverse, axis1=1, axis2=2), 0.0)) * kept[last]
+            p[last] = p_values(beta[last], se[last])
+        if not last.all():
+            beta[~last] = _coefficients(part[~last], right[~last], kept[~last])
+        return batch[["__g", *texts]].assign(__off=list(e.off), __beta=list(beta), __se=list(se), __p=list(p), __kept=[
+            np.flatnonzero(x).astype("int32") for x in kept], __dev=dev, __done=done)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fields = [part.split()[0] for part in _STATE.split(", ")]
         for batch in batches:
-            found = []
-            for row in batch.to_dict("records"):
-                past = (row["__beta"], row["__kept"], row["__dev"]) if k else (None, None, None)
-                entries = [np.asarray(row[f"__{c}"]) for c in ("ta", "pa", "tb", "pb", "s")]
-                found.append(step(np.asarray(row["__off"]), *entries, *past))
-            out = pd.DataFrame({f: [x[n] for x in found] for n, f in enumerate(fields)})
-            yield pd.concat([batch[["__g", *texts]].reset_index(drop=True), out], axis=1)
+            sizes = batch["__off"].map(lambda off: off[-1]).to_numpy()
+            for size in np.unique(sizes):
+                alike, most = batch[sizes == size], max(1, STACK // int(size) ** 2)
+                for at in range(0, len(alike), most):
+                    yield step(alike.iloc[at : at + most].reset_index(drop=True))
 
     return equations.mapInPandas(run, schema)
+
+
+def _coefficients(matrix: np.ndarray, right: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Solutions of a stack of equations; columns that are not kept get 0."""
+    try:
+        return np.linalg.solve(matrix + np.eye(matrix.shape[1]) * ~kept[:, None, :], (right * kept)[:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:  # weights of a separated term have run out
+        out = np.zeros_like(right)
+        for x, m, r, k in zip(out, matrix, right, kept):
+            if k.any():
+                part = m[np.ix_(k, k)]
+                try:
+                    x[k] = np.linalg.solve(part, r[k])
+                except np.linalg.LinAlgError:
+                    x[k] = np.linalg.lstsq(part, r[k], rcond=None)[0]
+        return out

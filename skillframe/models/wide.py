@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext
 from ..session import materialize
-from .design import Term, complete_cases, independent, levels, split_term
-from .grouped import _design, _normal_equations, system
+from .design import Term, complete_cases, independent, independent_each, levels, split_term
+from .grouped import STACK, Entries, _design, _normal_equations, marked, p_values
 
 #: The narrow part is solved on the driver: its matrix has at most this many rows.
 MAX_NARROW = 1024
@@ -115,20 +115,47 @@ class _Places:
         if self.size > MAX_NARROW:
             raise ValueError(f"{self.size} columns beside the wide text column; at most {MAX_NARROW} can be solved")
 
-    def of(self, row: dict) -> np.ndarray:
-        """The global places of the group's narrow columns."""
-        found: list[int] = []
-        for start, j, index in self.terms:
-            found += [start] if j is None else [start + index[x] for x in row[f"l{j}"]]
-        return np.array(found, dtype=int)
-
-    def block(self, row: dict, first: bool) -> tuple:
-        """(own columns kept, inverse of their block, cross block, matrix, right side, deviance) of a group."""
-        matrix, right, deviance = system(*[np.asarray(row[f"__{c}"]) for c in ("off", "ta", "pa", "tb", "pb", "s")])
-        o = self.own
-        kept = np.array(independent(matrix[:o, :o]) if first else row["__kept"], dtype=int)
-        inverse = np.linalg.pinv(matrix[np.ix_(kept, kept)], rcond=1e-14, hermitian=True) if len(kept) else np.zeros((0, 0))
-        return kept, inverse, matrix[kept, o:], matrix, right, deviance
+    def pieces(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The groups in pieces whose cross blocks fit into a stack."""
+        most = max(1, STACK // max(1, self.own * self.size))
+        for batch in batches:
+            for at in range(0, len(batch), most):
+                yield batch.iloc[at : at + most].reset_index(drop=True)
+
+    def levels_of(self, batch: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per factor: which of its values the groups have, one group after another, and where each group's begin."""
+        out = []
+        for j in range(len(self.factors)):
+            index = next(x for _, k, x in self.terms if k == j)
+            values = batch[f"l{j}"]
+            out.append((np.array([index[x] for row in values for x in row], dtype=int), np.cumsum(values.map(len)) - values.map(len)))
+        return [(at, start.to_numpy()) for at, start in out]
+
+    def place(self, values: list, g: np.ndarray, t: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """The global places of narrow columns: of term ``t`` and the group's text value ``p``."""
+        out = np.zeros(len(t), dtype=int)
+        for k, (start, j, _) in enumerate(self.terms, self.own):
+            here = t == k
+            out[here] = start if j is None else start + values[j][0][values[j][1][g[here]] + p[here]]
+        return out
+
+    def blocks(self, batch: pd.DataFrame, first: bool) -> tuple:
+        """Of every group: own columns kept, inverse of their block, cross block (0 where not kept), own right side; the
+        entries and the global places of their two columns."""
+        e, o, n = Entries(batch), self.own, len(batch)
+        values = self.levels_of(batch)
+        i, j = self.place(values, e.g, e.ta, e.pa), self.place(values, e.g, e.tb, e.pb)
+        matrix, cross, side = np.zeros((n, o, o)), np.zeros((n, o, self.size)), np.zeros((n, o))
+        mine = (e.ta >= 0) & (e.ta < o)
+        at = mine & (e.tb >= 0) & (e.tb < o)
+        matrix[e.g[at], e.ta[at], e.tb[at]] = matrix[e.g[at], e.tb[at], e.ta[at]] = e.s[at]
+        at = mine & (e.tb >= o)
+        cross[e.g[at], e.ta[at], j[at]] = e.s[at]
+        at = mine & (e.tb < 0)
+        side[e.g[at], e.ta[at]] = e.s[at]
+        kept = independent_each(matrix) if first else marked(batch["__kept"], o)
+        inverse = np.linalg.pinv(matrix * (kept[:, :, None] & kept[:, None, :]), rcond=1e-14, hermitian=True)
+        return kept, inverse, cross * kept[:, :, None], side * kept, e, i, j
 
     def reduced(self, equations: DataFrame, first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, int]:
         """The narrow part's matrix and right side without what the groups' own columns explain, the squared lengths of its
@@ -138,15 +165,19 @@ class _Places:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             m, o = places.size, places.own
             matrix, right, norms, deviance, n = np.zeros((m, m)), np.zeros(m), np.zeros(m), 0.0, 0
-            for batch in batches:
-                for row in batch.to_dict("records"):
-                    kept, inverse, cross, whole, side, dev = places.block(row, first)
-                    at = places.of(row)
-                    explained = cross.T @ inverse
-                    matrix[np.ix_(at, at)] += whole[o:, o:] - explained @ cross
-                    right[at] += side[o:] - explained @ side[kept]
-                    norms[at] += np.diag(whole)[o:]
-                    deviance, n = deviance + dev, n + 1
+            for batch in places.pieces(batches):
+                _, inverse, cross, side, e, i, j = places.blocks(batch, first)
+                pairs, sides = (e.ta >= o) & (e.tb >= o), (e.ta >= o) & (e.tb < 0)
+                np.add.at(matrix, (i[pairs], j[pairs]), e.s[pairs])
+                mirrored = pairs & (i != j)
+                np.add.at(matrix, (j[mirrored], i[mirrored]), e.s[mirrored])
+                own_length = pairs & (i == j)
+                np.add.at(norms, i[own_length], e.s[own_length])
+                np.add.at(right, i[sides], e.s[sides])
+                explained = (inverse @ cross).reshape(len(batch) * o, m)
+                matrix -= explained.T @ cross.reshape(len(batch) * o, m)
+                right -= explained.T @ side.ravel()
+                deviance, n = deviance + e.s[e.ta < 0].sum(), n + len(batch)
             i, j = np.nonzero(matrix)
             rows = [np.array([i, j, matrix[i, j]]), np.array([np.full(m, -1), np.arange(m), right]),
                     np.array([np.full(m, -2), np.arange(m), norms]), np.array([[-3, -3], [0, 1], [deviance, n]])]
@@ -171,16 +202,24 @@ class _Places:
         schema = ", ".join(f"{c} {kinds[c]}" for c in ("__g", *texts, "__off")) + ", __beta array<double>, __kept array<int>"
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                betas, keeps = [], []
-                for row in batch.to_dict("records"):
-                    kept, inverse, cross, _, side, _ = places.block(row, first)
-                    shared = beta[places.of(row)]
-                    mine = np.zeros(places.own)
-                    mine[kept] = inverse @ (side[kept] - cross @ shared)
-                    betas.append(np.concatenate([mine, shared]))
-                    keeps.append(kept.astype("int32"))
-                yield batch[["__g", *texts, "__off"]].assign(__beta=betas, __kept=keeps)
+            o = places.own
+            for batch in places.pieces(batches):
+                kept, inverse, cross, side, e, _, _ = places.blocks(batch, first)
+                mine = (inverse @ (side - cross @ beta)[:, :, None])[:, :, 0]
+                # Coefficients of all groups one after another, each where the group's ``off`` puts its term.
+                ends = np.cumsum(e.off[:, -1])
+                begins, flat = ends - e.off[:, -1], np.zeros(ends[-1])
+                flat[begins[:, None] + np.arange(o)] = mine
+                values, groups = places.levels_of(batch), np.arange(len(batch))
+                for k, (start, j, _) in enumerate(places.terms, o):
+                    if j is None:
+                        flat[begins + e.off[:, k]] = beta[start]
+                    else:
+                        found, starts = values[j]
+                        g = np.repeat(groups, np.diff(np.append(starts, len(found))))
+                        flat[begins[g] + e.off[g, k] + np.arange(len(found)) - starts[g]] = beta[start + found]
+                yield batch[["__g", *texts, "__off"]].assign(
+                    __beta=np.split(flat, ends[:-1]), __kept=[np.flatnonzero(x).astype("int32") for x in kept])
 
         return equations.mapInPandas(run, schema)
 
@@ -190,18 +229,17 @@ class _Places:
         spread[np.ix_(kept, kept)] = error
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                out = []
-                for row in batch.to_dict("records"):
-                    mine, inverse, cross, _, _, _ = places.block(row, False)
-                    at, half = places.of(row), inverse @ cross
-                    se = np.sqrt(np.maximum(np.diag(inverse + half @ spread[np.ix_(at, at)] @ half.T), 0.0))
-                    known = dict(zip(mine.tolist(), se.tolist()))
-                    for t, term in enumerate(own):
-                        name = ":".join(v + row["__g"] if v == wide else v for v in term.variables)
-                        b = float(row["__beta"][t])
-                        out.append((name, b, known[t], *_test(b, known[t])) if t in known else (name, None, None, None, None))
-                yield pd.DataFrame(out, columns=["term", "estimate", "std_error", "statistic", "p_value"]).astype(
-                    {c: "float64" for c in ("estimate", "std_error", "statistic", "p_value")})
+            for batch in places.pieces(batches):
+                known, inverse, cross, _, _, _, _ = places.blocks(batch, False)
+                half = inverse @ cross
+                se = np.sqrt(np.maximum(np.diagonal(inverse, axis1=1, axis2=2) + (half @ spread * half).sum(axis=2), 0.0))
+                betas = np.stack([x[: places.own] for x in batch["__beta"]])
+                for t, term in enumerate(own):
+                    b, e, k = betas[:, t], se[:, t], known[:, t]
+                    names = [":".join(v + g if v == wide else v for v in term.variables) for g in batch["__g"]]
+                    yield pd.DataFrame({
+                        "term": names, "estimate": np.where(k, b, np.nan), "std_error": np.where(k, e, np.nan),
+                        "statistic": np.where(k & (e > 0), b / np.where(e > 0, e, 1.0), np.nan),
+                        "p_value": np.where(k, p_values(b, e), np.nan)})
 
         return equations.mapInPandas(run, _COEFS)

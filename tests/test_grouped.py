@@ -68,3 +68,24 @@ def test_rows_of_a_group_never_meet_in_one_task(spark, mixed):
     cells, state, _ = grouped._design(mixed, "y", [Term("one", "kind"), Term("x")], "team", False)
     text = grouped._normal_equations(cells, None, [Term("one", "kind"), Term("x")])._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in text and "Python" not in text and "Window" not in text
+
+
+def test_stacks_of_equations_are_solved_as_single_ones():
+    """Groups are solved many at once; dependent columns, empty ones and equations that have run out stay as in one group."""
+    from skillframe.models.design import independent, independent_each
+    from skillframe.models.grouped import _coefficients
+
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(200, 30, 4))
+    rows[::2, :, 2] = rows[::2, :, 0] - 2 * rows[::2, :, 1]
+    rows[::5, :, 1] = 0.0
+    grams = rows.transpose(0, 2, 1) @ rows
+    kept = independent_each(grams)
+    assert [np.flatnonzero(k).tolist() for k in kept] == [independent(g) for g in grams]
+    right = rng.normal(size=(200, 4))
+    for broken in (False, True):
+        part = grams * (kept[:, :, None] & kept[:, None, :])
+        part[0] = 0.0 if broken else part[0]
+        for x, m, r, k in zip(_coefficients(part, right, kept), part, right, kept):
+            want = np.linalg.lstsq(m[np.ix_(k, k)], r[k], rcond=None)[0]
+            assert x[k] == pytest.approx(want) and not x[~k].any()
