@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import na_sum
-from ..operators.joins import natural_join
+from ..operators.joins import equi_join
 from ..operators.lookup import classify, relabel_expr
 from ..operators.ranking import top1
 from ..operators.reshape import ordered_concat
+from ..session import materialize
 from .fixed import ALL_HEROES, TIME_PLAYED, hero_roles, subrole_rules
 
 PLAYER_MAP = ["player", "map_id", "map_type", "team"]
@@ -28,19 +31,28 @@ def player_roles(time: DataFrame, compat: bool = False) -> DataFrame:
     return top1(sums, PLAYER_MAP, "seconds", ["role"]).select(*PLAYER_MAP, "role")
 
 
-def team_rosters(time: DataFrame) -> DataFrame:
-    """The main heroes of a team on a map, most played first, as one text."""
-    sums = time.groupBy("player", "map_id", "team", "hero").agg(na_sum("seconds").alias("seconds"))
-    by_player = ["player", "map_id", "team"]
+def team_rosters(time: DataFrame, team_map: Sequence[str] = ("map_id", "team")) -> DataFrame:
+    """The main heroes of a team on a map, most played first, as one text; ``team_map`` are the columns that tell them apart."""
+    by_player = ["player", *team_map]
+    sums = time.groupBy(*by_player, "hero").agg(na_sum("seconds").alias("seconds"))
     # Keep the time of the winning hero: it orders the roster.
     best = top1(sums.withColumn("time", F.col("seconds")), by_player, "seconds", ["hero"])
     order = ["time DESC NULLS LAST", "player ASC NULLS LAST"]
-    return ordered_concat(best, ["map_id", "team"], "hero", order, ", ", "heroes")
+    return ordered_concat(best, team_map, "hero", order, ", ", "heroes")
+
+
+#: Rows that a task should get of those dealt by team and map.
+DEALT_ROWS = 100_000
+#: Team and map as one text, missing ones included, so that equal texts are equal pairs.
+_TEAM_MAP = "concat(coalesce(concat(length(map_id), ':', map_id), '-'), coalesce(concat('=', team), ''))"
 
 
 def player_subroles(time: DataFrame, compat: bool = False) -> DataFrame:
-    main = top1(time, PLAYER_MAP, "seconds", ["hero"])
-    with_roster = natural_join(main, team_rosters(time), "left")
+    # Written once for both uses below. Rows dealt by team and map then stay where they are: main heroes, rosters and their join.
+    dealt = materialize(time.withColumn("__at", F.expr(_TEAM_MAP)))
+    dealt = dealt.repartition(1 + dealt.count() // DEALT_ROWS, "__at")
+    main = top1(dealt, ["player", "__at", "map_type"], "seconds", ["hero"])
+    with_roster = equi_join(main, team_rosters(dealt, ["__at"]), ["__at"], "left", nullsafe=False)
     return classify(with_roster, subrole_rules(compat), "hero", "heroes", "subrole").select(
         *PLAYER_MAP, "hero", "heroes", "subrole"
     )

@@ -36,11 +36,21 @@ def coefficients_by_season(frame: DataFrame) -> DataFrame:
     return fit_logit_by(frame, "win", [MAP_TERM, *[Term(s) for s in MODEL_STATS]], "year")
 
 
+def player_frame(
+    results: DataFrame, player_stats: DataFrame, subroles: DataFrame, seasons: Sequence[str] = SEASONS
+) -> DataFrame:
+    return model_frame(results, player_stats_wide(player_stats, subroles), drop_draws=False, seasons=seasons)
+
+
 def stat_scores(
-    results: DataFrame, player_stats: DataFrame, subroles: DataFrame, fit: LogitFit, seasons: Sequence[str] = SEASONS
+    results: DataFrame, player_stats: DataFrame, subroles: DataFrame, fit: LogitFit, seasons: Sequence[str] = SEASONS,
+    frame: DataFrame | None = None,
 ) -> DataFrame:
-    """Log-odds each player's own statistics add, the same scaled within the subrole, and the map's own share."""
-    frame = model_frame(results, player_stats_wide(player_stats, subroles), drop_draws=False, seasons=seasons)
+    """Log-odds each player's own statistics add, the same scaled within the subrole, and the map's own share.
+
+    ``frame`` is the ``player_frame`` of the first three, where it has been written already.
+    """
+    frame = player_frame(results, player_stats, subroles, seasons) if frame is None else frame
     scored = score_link(frame, fit, WIN_TERMS, "score", {FLAG: 0.0})
     neutral = F.col("map_type") == NEUTRAL_MAP_TYPE
     scored = score_map_advantage(scored, fit, WIN_TERMS, MODEL_STATS, neutral, "map_adv_score")

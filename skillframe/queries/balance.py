@@ -89,7 +89,9 @@ def stat_scores_balance(spark, sf):
     """Scores per season and subrole against sums over the long form of statistics and coefficients."""
     results, log, subroles = order_results(spark, sf), stat_log(spark, sf), _subroles(spark, sf)
     fit = scores.fit_win_model(scores.team_frame(results, log, subroles))
-    wide = scores.model_frame(results, scores.player_stats_wide(log, subroles), drop_draws=False)
+    # Written once for the scores and the sums they are held against.
+    used = ["stage", "patch", "year", "subrole", "map_id", "map_type", "player", "player_team", scores.FLAG, *scores.MODEL_STATS]
+    wide = materialize(scores.player_frame(results, log, subroles).select(*used))
     long = wide.select("year", "subrole", "map_id", "map_type", "player", "player_team", scores.FLAG, F.explode(F.array(*[
         F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("v")) for s in scores.MODEL_STATS])).alias("x"))
     coefs = fit.coef_df(spark).select("term", F.coalesce("estimate", F.lit(0.0)).alias("estimate"))
@@ -99,7 +101,7 @@ def stat_scores_balance(spark, sf):
     flag = F.concat(F.lit("map_type"), F.col("map_type"), F.lit(f":{scores.FLAG}")) == F.col("term")
     advantage = F.when(F.col("map_type") == fixed.NEUTRAL_MAP_TYPE, F.lit(0.0)).otherwise(F.expr("estimate * flag"))
     summed = materialize(summed.join(coefs, flag, "left").select(*key, "expected", advantage.alias("advantage")))
-    scored = scores.stat_scores(results, log, subroles, fit).select(*key, "score", "scaled_score", "map_adv_score")
+    scored = scores.stat_scores(results, log, subroles, fit, frame=wide).select(*key, "score", "scaled_score", "map_adv_score")
     spread = summed.groupBy("subrole").agg(F.avg("expected").alias("mean"), F.stddev_samp("expected").alias("sd"))
     both = equi_join(equi_join(scored, summed, key), spread, ["subrole"])
     pairs = {"gap": ("score", "expected"), "scaled_gap": ("scaled_score", "(expected - mean) / nullif(sd, 0D)"),

@@ -188,3 +188,23 @@ def test_map_id_gaps_shuffle_ids_once_and_list_missing_ids_on_both_sides(spark):
     assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
     assert sorted(map(str, gaps.collect())) == sorted(
         f"Row(map_id={m!r}, only_in={s!r})" for m, s in [("a", "rounds"), ("c", "players"), (None, "rounds"), (None, "players")])
+
+
+def test_subroles_deal_rows_by_team_and_map_once(spark, monkeypatch):
+    """Main heroes, rosters and their join need no further shuffle; missing maps and teams stay apart from empty texts."""
+    monkeypatch.setattr(roles, "DEALT_ROWS", 2, raising=False)
+    rows = [(p, m, "CONTROL", t, h, 1.0 + k) for m in ("1", "11", "", None) for t in ("a", "1a", "", None)
+            for p, k in (("x", 0), ("y", 1)) for h in ("Ana", f"{m}|{t}")]
+    time = spark.createDataFrame(rows, "player string, map_id string, map_type string, team string, hero string, seconds double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = roles.player_subroles(time)
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange ") == text.count("Exchange hashpartitioning(__at") == 2
+    got = {(r["player"], r["map_id"], r["team"]): (r["hero"], r["heroes"]) for r in found.collect()}
+    assert len(got) == 32 == found.count()
+    for (_, m, t), (hero, heroes) in got.items():
+        best = min("Ana", f"{m}|{t}")
+        assert (hero, heroes) == (best, f"{best}, {best}")
