@@ -94,7 +94,8 @@ def stat_scores_balance(spark, sf):
     wide = materialize(scores.player_frame(results, log, subroles).select(*used))
     long = wide.select("year", "subrole", "map_id", "map_type", "player", "player_team", scores.FLAG, F.explode(F.array(*[
         F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("v")) for s in scores.MODEL_STATS])).alias("x"))
-    coefs = fit.coef_df(spark).select("term", F.coalesce("estimate", F.lit(0.0)).alias("estimate"))
+    # One row per term, of which a design has MAX_COLUMNS at most: the long form stays where it is.
+    coefs = F.broadcast(fit.coef_df(spark).select("term", F.coalesce("estimate", F.lit(0.0)).alias("estimate")))
     key = ["year", "subrole", "map_id", "map_type", "player", "player_team"]
     summed = long.join(coefs, F.concat(F.col("x.stat"), F.lit(":year"), F.col("year")) == F.col("term"), "left").groupBy(*key).agg(
         F.expr("sum(estimate * x.v) AS expected"), F.first(scores.FLAG).alias("flag"))

@@ -208,3 +208,16 @@ def test_subroles_deal_rows_by_team_and_map_once(spark, monkeypatch):
     for (_, m, t), (hero, heroes) in got.items():
         best = min("Ana", f"{m}|{t}")
         assert (hero, heroes) == (best, f"{best}, {best}")
+
+
+def test_score_sums_shuffle_no_long_form_and_build_the_frame_once(spark, sf_dir, monkeypatch):
+    from skillframe.plans import scores
+    from skillframe.queries import balance
+
+    plans, frames, write, build = [], [], balance.materialize, scores.player_frame
+    monkeypatch.setattr(balance, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    monkeypatch.setattr(scores, "player_frame", lambda *a: frames.append(build(*a)) or frames[-1])
+    gaps = balance.stat_scores_balance(spark, sf_dir).collect()
+    assert gaps and all(r["gap"] == r["scaled_gap"] == r["map_gap"] == 0 for r in gaps)
+    summed = [p for p in plans if "estimate" in p and "explode" in p]
+    assert len(summed) == 1 == len(frames) and "SortMergeJoin" not in summed[0] and summed[0].count("BroadcastHashJoin") == 2
