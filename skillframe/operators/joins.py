@@ -38,27 +38,33 @@ def equi_join(
     how: str = "inner",
     nullsafe: bool = True,
     suffix: str = "_right",
+    dealt: str | None = None,
 ) -> DataFrame:
     """Join on equal keys; the right keys vanish and other colliding right columns get ``suffix``.
 
     ``on`` maps left names to right names. With ``nullsafe`` a missing key matches a missing key; without it the SQL
-    rule holds and a missing key matches nothing. Only inner and left joins exist.
+    rule holds and a missing key matches nothing. Only inner and left joins exist. ``dealt`` is a column of both sides that is
+    never missing and equal where the keys are: rows meet by it alone, so what is grouped by it later stays where it is.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     pairs = _key_pairs(on)
     key_alias = {r: f"__key_{i}" for i, (_, r) in enumerate(pairs)}
-    kept = [c for c in right.columns if c not in key_alias]
+    kept = [c for c in right.columns if c not in key_alias and c != dealt]
     out_name = {c: c + suffix if c in left.columns else c for c in kept}
     right = right.select(
         *[F.col(r).alias(a) for r, a in key_alias.items()],
         *[F.col(c).alias(f"__val_{c}") for c in kept],
+        *([F.col(dealt).alias("__dealt")] if dealt else []),
     )
     def matches(l: str, r: str) -> Column:
         a, b = left[l], right[key_alias[r]]
+        if dealt:  # written so that Spark checks it and does not deal rows by it
+            return F.coalesce(a == b, a.isNull() & b.isNull() if nullsafe else F.lit(False))
         return a.eqNullSafe(b) if nullsafe else a == b
 
-    joined = left.join(right, reduce(operator.and_, [matches(l, r) for l, r in pairs]), how)
+    met = [left[dealt] == right["__dealt"]] if dealt else []
+    joined = left.join(right, reduce(operator.and_, met + [matches(l, r) for l, r in pairs]), how)
     return joined.select(
         *[left[c] for c in left.columns],
         *[right[f"__val_{c}"].alias(out_name[c]) for c in kept],

@@ -26,12 +26,13 @@ def two_sided(
     stats_side: str,
     drop_draws: bool,
     flag: str = "first_attacker_flg",
+    dealt: str | None = None,
 ) -> DataFrame:
     """Each result twice, once per side, joined with that side's statistics.
 
     Adds ``flag`` (1 for ``first``, -1 for ``second``), ``win`` and the two team columns ``player_team`` and
     ``opponent_team``. Results are unfolded before the join, so statistics are shuffled once, not once per side.
-    With ``drop_draws`` draws and missing winners leave; without it a draw is a win for nobody.
+    With ``drop_draws`` draws and missing winners leave; without it a draw is a win for nobody. ``dealt``: as in ``equi_join``.
     """
     if drop_draws:
         results = results.where(F.col(winner) != "draw")
@@ -46,7 +47,7 @@ def two_sided(
         F.col("__side.o").alias("opponent_team"),
     )
     won = (F.col("player_team") == F.col(winner)).cast("double")
-    return equi_join(unfolded.withColumn("win", won), stats, {key: key, "player_team": stats_side}, "left")
+    return equi_join(unfolded.withColumn("win", won), stats, {key: key, "player_team": stats_side}, "left", dealt=dealt)
 
 
 def signed_mean(df: DataFrame, keys: Sequence[str], side: str, positive: str, value: Column | str, out: str) -> DataFrame:

@@ -70,10 +70,21 @@ def seasons_of(results: DataFrame) -> tuple[str, ...]:
     return tuple(sorted(r["year"] for r in results.select(year).where("year <> ''").distinct().collect()))
 
 
-def model_frame(results: DataFrame, stats: DataFrame, drop_draws: bool, seasons: Sequence[str] = SEASONS) -> DataFrame:
-    """Each map from both sides with that side's statistics, the outcome and the season (NULL outside ``seasons``)."""
-    sides = results.select(*RESULT_COLUMNS).withColumn(
+#: A map's name as a text that is never missing.
+MAP = "coalesce(concat('=', map_id), '')"
+
+
+def model_frame(
+    results: DataFrame, stats: DataFrame, drop_draws: bool, seasons: Sequence[str] = SEASONS, dealt: str | None = None
+) -> DataFrame:
+    """Each map from both sides with that side's statistics, the outcome and the season (NULL outside ``seasons``).
+
+    ``dealt`` names the column of ``stats`` that holds ``MAP``; both tables are then dealt by map, and the column stays.
+    """
+    named = [F.expr(MAP).alias(dealt)] if dealt else []
+    sides = results.select(*RESULT_COLUMNS, *named).withColumn(
         "first_defender", other_side("first_attacker", "team_one_name", "team_two_name")
     )
-    framed = two_sided(sides, stats, "map_id", "first_attacker", "first_defender", "map_winner", "team", drop_draws)
+    framed = two_sided(
+        sides, stats, "map_id", "first_attacker", "first_defender", "map_winner", "team", drop_draws, dealt=dealt)
     return framed.withColumn("year", season(seasons=seasons))

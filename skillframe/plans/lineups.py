@@ -17,29 +17,43 @@ from ..operators.reshape import membership, ordered_concat
 from ..operators.sides import signed_mean
 from ..session import materialize
 from .fixed import SEASONS
-from .frames import model_frame
+from .frames import MAP, model_frame
 
+#: The column that holds ``MAP``: rows are dealt by it once.
+DEALT = "__map"
 SIDE = ["player_team", "opponent_team", "map_id", "win", "map_type", "first_attacker_flg", "year"]
 
 
 def side_players(results: DataFrame, subroles: DataFrame, seasons: Sequence[str] = SEASONS) -> DataFrame:
-    """One row per side of a decided map and player, all ``seasons`` at once."""
-    players = subroles.select("player", "map_id", "team", "map_type", "subrole")
-    framed = model_frame(results, players, drop_draws=True, seasons=seasons)
+    """One row per side of a decided map and player, all ``seasons`` at once; ``DEALT`` is kept where players have it."""
+    if DEALT not in subroles.columns:
+        subroles = subroles.withColumn(DEALT, F.expr(MAP))
+    players = subroles.select("player", "map_id", "team", "map_type", "subrole", DEALT)
+    framed = model_frame(results, players, drop_draws=True, seasons=seasons, dealt=DEALT)
     return framed.withColumn("player_role", paste("player", "subrole", sep="_")).where(F.col("year").isNotNull())
 
 
 def lineup_frame(sides: DataFrame) -> DataFrame:
     """One row per side and map with its lineup, paired with the opponent's lineup on the same map."""
-    lineups = ordered_concat(sides, SIDE, "player_role", ["player ASC NULLS LAST", "player_role"], ";", "lineup")
+    # Players and results come dealt by map, so no grouping here moves a row again; sorted rows are added up as they pass.
+    by_map = [DEALT, "map_id", "year"]
+    keys = [*by_map, *[c for c in SIDE if c not in by_map]]
+    order = ["player ASC NULLS LAST", "player_role"]
+    lineups = ordered_concat(sides.sortWithinPartitions(*keys), keys, "player_role", order, ";", "lineup")
     # A map has two sides, so its lineups meet in one short array instead of a join of the table with itself.
-    own = [c for c in lineups.columns if c not in ("map_id", "year")]
-    sides_of = lineups.groupBy("map_id", "year").agg(F.collect_list(F.struct(*own)).alias("sides"))
+    own = [c for c in lineups.columns if c not in by_map]
+    sides_of = lineups.sortWithinPartitions(*by_map).groupBy(*by_map).agg(F.collect_list(F.struct(*own)).alias("sides"))
     each = sides_of.select("map_id", "year", "sides", F.explode("sides").alias("a"))
     against = F.filter("sides", lambda b: b["player_team"].eqNullSafe(F.col("a.opponent_team")))
     return each.select(
-        *[F.col(c) if c in ("map_id", "year") else F.col(f"a.{c}") for c in lineups.columns], F.explode(against).alias("b")
-    ).select(*lineups.columns, F.col("b.lineup").alias("lineup_opponent"))
+        *[F.col(c) if c in ("map_id", "year") else F.col(f"a.{c}") for c in [*SIDE, "lineup"]], F.explode(against).alias("b")
+    ).select(*SIDE, "lineup", F.col("b.lineup").alias("lineup_opponent"))
+
+
+def lineup_roles(frame: DataFrame) -> DataFrame:
+    """The player roles of a frame's lineups, each lineup taken apart once."""
+    lineups = frame.select("lineup").distinct()
+    return lineups.select(F.explode(F.split("lineup", ";")).alias("player_role")).distinct()
 
 
 def lineup_scores(frame: DataFrame, tol: float = 1e-4, method: str = "pql") -> DataFrame:

@@ -159,11 +159,13 @@ def _type_players(spark, sf):
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     joined = equi_join(line, part, {"l_partkey": "p_partkey"}, nullsafe=False)
     joined = equi_join(joined, suppliers, {"l_suppkey": "s_suppkey"}, nullsafe=False)
-    return joined.select(
+    players = joined.select(
         F.col("p_type").alias("player"), F.col("l_orderkey").cast("string").alias("map_id"),
         F.when(F.col("s_nationkey") < 12, "home").otherwise("away").alias("team"), F.lit("HYBRID").alias("map_type"),
         F.when(F.col("l_returnflag") == "R", "back").otherwise("front").alias("subrole"),
-    ).distinct()
+    )
+    # Dealt by map before equal rows are dropped, as the lineups need them.
+    return players.withColumn(lineups.DEALT, F.expr(frames.MAP)).repartition(lineups.DEALT).distinct()
 
 
 def _rated(spark, sf):
@@ -178,8 +180,7 @@ def on_off_lineup_scores(spark, sf):
 
 def on_off_player_scores(spark, sf):
     frame, rated = _rated(spark, sf)
-    members = frame.select(F.explode(F.split("lineup", ";")).alias("player_role")).distinct()
-    return lineups.player_scores(materialize(rated), members)
+    return lineups.player_scores(materialize(rated), lineups.lineup_roles(frame))
 
 
 def map_id_gaps(spark, sf):

@@ -221,3 +221,56 @@ def test_score_sums_shuffle_no_long_form_and_build_the_frame_once(spark, sf_dir,
     assert gaps and all(r["gap"] == r["scaled_gap"] == r["map_gap"] == 0 for r in gaps)
     summed = [p for p in plans if "estimate" in p and "explode" in p]
     assert len(summed) == 1 == len(frames) and "SortMergeJoin" not in summed[0] and summed[0].count("BroadcastHashJoin") == 2
+
+
+def _hand_lineups(results, players):
+    """Lineups of both sides of a map, in plain Python."""
+    rows = set()
+    texts = {}
+    for stage, m, first, winner in results:
+        for team, other, flag in ((first, "b" if first == "a" else "a", 1.0), ("b" if first == "a" else "a", first, -1.0)):
+            mine = [p for p in players if p[1] == m and p[2] == team] or [(None, m, team, None, None)]
+            for kind in {p[3] for p in mine}:
+                key = (team, other, m, None if team is None else float(team == winner), kind, flag, stage[:4])
+                texts.setdefault(key, []).extend(p for p in mine if p[3] == kind)
+    shown = {k: ";".join(f"{p[0] or 'NA'}_{p[4] or 'NA'}" for p in sorted(v, key=lambda p: (p[0] is None, p[0] or "", p[4] or "NA"))) for k, v in texts.items()}
+    for k, text in shown.items():
+        rows |= {(*k, text, o) for q, o in shown.items() if q[2] == k[2] and q[6] == k[6] and q[0] == k[1]}
+    return rows
+
+
+def test_lineups_deal_rows_by_map_once_and_keep_missing_maps_and_teams(spark, sf_dir):
+    from skillframe.plans import lineups
+    from skillframe.queries import ratings
+
+    results = [("2018 x", "1", "a", "a"), ("2018 x", "1", "a", "a"), ("2019 x", "11", "b", "a"), ("2018 x", None, "a", "b"),
+               ("2018 x", "", None, "b"), ("2020 x", "2", "a", "a")]
+    players = [(p, m, t, "CONTROL", s) for m in ("1", "11", "", None) for t in ("a", "b", None) for p, s in (("y", "z"), ("x", None), (None, "w"))]
+    made = spark.createDataFrame(
+        [(s, m, "p", "a", "b", w, 1.0, 0.0, f) for s, m, f, w in results],
+        "stage string, map_id string, patch string, team_one_name string, team_two_name string, map_winner string, "
+        "team_one_map_score double, team_two_map_score double, first_attacker string")
+    logged = spark.createDataFrame(players, "player string, map_id string, team string, map_type string, subrole string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = lineups.lineup_frame(lineups.side_players(made, logged))
+        got = [tuple(r) for r in found.collect()]
+        frame = lineups.lineup_frame(lineups.side_players(ratings.order_results(spark, sf_dir), ratings._type_players(spark, sf_dir)))
+        text = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found.columns == [*lineups.SIDE, "lineup", "lineup_opponent"]
+    want = _hand_lineups(results, players)
+    assert len(got) == len(set(got)) and set(got) == want
+    # Both sides of the joins with parts and suppliers are dealt by those keys; from there on rows are dealt by map alone.
+    assert text.count("hashpartitioning(__map") == 2 and text.count("Exchange hashpartitioning") == 2 + 4
+    assert "ObjectHashAggregate" not in text
+
+
+def test_roles_are_taken_from_distinct_lineups(spark):
+    from skillframe.plans.lineups import lineup_roles
+
+    frame = spark.createDataFrame([("a_x;b_y",)] * 3 + [("b_y",), (None,)], "lineup string")
+    assert sorted(r[0] for r in lineup_roles(frame).collect()) == ["a_x", "b_y"]
+    text = lineup_roles(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in text[text.index("Generate"):]
