@@ -130,8 +130,7 @@ def on_off_player_balance(spark, sf):
     """Normal equations of the ridge as ``player_scores`` fits it: weighted residual on each member less its penalty, in units of the response."""
     frame = _paired(spark, sf)
     rated = materialize(lineups.lineup_scores(frame))
-    roles = frame.select(F.explode(F.split("lineup", ";")).alias("player_role")).distinct()
-    members = materialize(membership(rated, "lineup", ";", "exact", roles))
+    members = materialize(membership(rated, "lineup", ";", "exact", lineups.lineup_roles(frame)))
     targets = rated.select("lineup", "estimate", F.col("n").cast("double").alias("n"))
     best = best_lambda(cross_validate(members, targets, lambda_scale="response_sd"))
     fit = solve(members, targets, best, "response_sd")
