@@ -320,6 +320,25 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"a": left.column("doc").take(pa.array(i)), "b": right.column("doc").take(pa.array(j))})
 
 
+def _near(compared: DataFrame) -> DataFrame:
+    """Families: documents around a leader, near enough to it that two of them may link. Half of the union is ample."""
+    return compared.where(F.col("shared") * 2 >= F.col("joint")).select(F.col("a").alias("doc"), F.col("b").alias("family"))
+
+
+def _around(first_family: DataFrame, large: DataFrame, top: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc, family) of the large families, those with leaders near each other as one. top: a, b, hits, followers."""
+    leads = large.select(F.col("family").alias("doc"))
+    inner_ring = first_family.join(large, "family")
+    # Documents whose own leader has no family, and the leaders themselves, try the most followed leader that has one.
+    others = top.join(large.select(F.col("family").alias("b")), "b").join(inner_ring.select(F.col("doc").alias("a")).join(leads.select(F.col("doc").alias("a")), "a", "left_anti"), "a", "left_anti")
+    most = Window.partitionBy("a").orderBy(F.desc("followers"), F.desc("hits"), "b")
+    tried = materialize(_near(_compared(others.withColumn("k", F.row_number().over(most)).where(F.col("k") == 1).select("a", "b"), sets)))
+    rings = inner_ring.join(leads, "doc", "left_anti").unionByName(tried.join(leads, "doc", "left_anti")).unionByName(leads.withColumn("family", F.col("doc")))
+    merged = components(tried.join(leads, "doc").select(F.col("doc").alias("a"), F.col("family").alias("b"))).select(
+        F.col("doc").alias("family"), F.col("label").alias("root"))
+    return rings.join(merged, "family", "left").select("doc", F.coalesce("root", "family").alias("family")).distinct()
+
+
 def _family_links(members: DataFrame) -> DataFrame:
     """members: doc, n, shingles, label, family, main (label of the family's leader). Links that the leader does not explain."""
     outside = F.col("label") != F.col("main")
@@ -369,34 +388,24 @@ def link(base: DataFrame) -> DataFrame:
     best = Window.partitionBy("a").orderBy(F.desc(F.col("hits") * 2 >= F.col("most")), F.desc("followers"), F.desc("hits"), "b")
     ranked = materialize(top.withColumn("k", F.row_number().over(best)).where(F.col("k") <= LEADERS).select("a", "b", "k"))
     led_by = materialize(_compared(ranked.where(F.col("k") == 1).select("a", "b"), sets))
-    links = materialize(_linked(led_by))
+    links = _linked(led_by)
     for k in range(2, LEADERS + 1):
         # Only those that no leader has taken yet.
         left = ranked.where(F.col("k") == k).select("a", "b").join(links.select("a").distinct(), "a", "left_anti")
         links = materialize(links.unionByName(_linked(_compared(left, sets))))
     label = components(links)
-    # Families: documents around a leader, near enough to it that two of them may link. Half of the union is ample.
-    near = lambda compared: compared.where(F.col("shared") * 2 >= F.col("joint")).select(F.col("a").alias("doc"), F.col("b").alias("family"))
-    first_family = near(led_by)
+    first_family = _near(led_by)
     large = materialize(first_family.groupBy("family").count().where(F.col("count") >= FAMILY).select("family"))
-    leads = large.select(F.col("family").alias("doc"))
-    inner_ring = first_family.join(large, "family")
-    # Documents whose own leader has no family, and the leaders themselves, try the most followed leader that has one.
-    others = top.join(large.select(F.col("family").alias("b")), "b").join(inner_ring.select(F.col("doc").alias("a")).join(leads.select(F.col("doc").alias("a")), "a", "left_anti"), "a", "left_anti")
-    most = Window.partitionBy("a").orderBy(F.desc("followers"), F.desc("hits"), "b")
-    tried = materialize(near(_compared(others.withColumn("k", F.row_number().over(most)).where(F.col("k") == 1).select("a", "b"), sets)))
-    rings = inner_ring.join(leads, "doc", "left_anti").unionByName(tried.join(leads, "doc", "left_anti")).unionByName(leads.withColumn("family", F.col("doc")))
-    # Families with leaders near each other are one.
-    merged = components(tried.join(leads, "doc").select(F.col("doc").alias("a"), F.col("family").alias("b"))).select(
-        F.col("doc").alias("family"), F.col("label").alias("root"))
-    around = rings.join(merged, "family", "left").select("doc", F.coalesce("root", "family").alias("family")).distinct()
-    large = around.select("family").distinct()
+    families = not large.isEmpty()
+    around = _around(first_family, large, top, sets) if families else large.select(F.col("family").alias("doc"), "family")
     named = materialize(
         known.select("doc", "n").distinct().join(label, "doc", "left").join(around, "doc", "left")
         .select("doc", "n", F.coalesce("label", "doc").alias("label"), F.coalesce("family", "doc").alias("family")))
-    mains = named.where(F.col("doc") == F.col("family")).select("family", F.col("label").alias("main")).distinct()
-    members = named.join(large, "family").join(mains, "family").join(sets, "doc")
-    links = materialize(links.unionByName(_family_links(members)))
+    if families:
+        large = around.select("family").distinct()
+        mains = named.where(F.col("doc") == F.col("family")).select("family", F.col("label").alias("main")).distinct()
+        members = named.join(large, "family").join(mains, "family").join(sets, "doc")
+        links = materialize(links.unionByName(_family_links(members)))
     # All other pairs, by the postings. The smaller set probes, so it must share enough for a partner of its own size at least.
     placed = named.select("doc", "label", "family").distinct()
     entries, probes = (t.join(placed, "doc") for t in (index, chosen.where(F.col("n") * (2 * SHARE) <= F.col("s") * (100 + SHARE))))

@@ -2,12 +2,15 @@
 
 import collections
 import hashlib
+import random
+import sys
 
 from conftest import DOCS, plain_words
 from pyspark.sql import functions as F
 
 from skillframe.llm import jaccard, lines, substrings
 from skillframe.llm.components import components
+from skillframe.session import RUNTIME_SETTINGS, configure, materialize
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -165,6 +168,43 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def writes(monkeypatch, module):
+    made = []
+    monkeypatch.setattr(module, "materialize", lambda df: made.append(1) or materialize(df))
+    return made
+
+
+def test_components_of_few_links_need_one_round(spark, monkeypatch):
+    made = writes(monkeypatch, sys.modules[components.__module__])
+    got = {r["doc"]: r["label"] for r in components(spark.createDataFrame([(i, i + 1) for i in range(64)], "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(65), 0)
+    assert len(made) == 3  # links, first labels, the round that finds nothing new
+
+
+def test_components_across_partitions(spark, monkeypatch):
+    draw = random.Random(2)
+    links = [(i, i + 1) for i in range(50, 90)] + [(draw.randrange(100, 400), draw.randrange(100, 400)) for _ in range(120)] + [(-5, k) for k in range(500, 540)] + [(7, 7), (None, 8)]
+    root = {i: i for pair in links for i in pair}
+    for _ in root:
+        for a, b in links[:-1]:
+            root[a] = root[b] = min(root[a], root[b])
+    monkeypatch.setitem(RUNTIME_SETTINGS, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["doc"]: r["label"] for r in components(configure(spark).createDataFrame(links, "a long, b long")).collect()}
+    finally:
+        monkeypatch.undo()
+        configure(spark)
+    assert got == {i: root[i] for a, b in links[:-1] if a != b for i in (a, b)}
+
+
+def test_without_families_nothing_is_done_for_them(spark, docs, small_groups, rows, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jaccard, "components", lambda links: calls.append(1) or components(links))
+    monkeypatch.setattr(jaccard, "FAMILY", 10**6)
+    got = {r["doc"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == expected_components(rows) and len(calls) == 2
+
+
 def test_kept_text_digest(spark):
     docs = spark.createDataFrame([(1, " a  b\tc ", "", "", 0, "", "")], DOCS)
     row = substrings.dedup(docs).select(F.sha2("text", 256).alias("h")).first()
