@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+#: Links that one task replaces by stars.
+TASK_LINKS = 1 << 17
+
 
 def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids of these links, sorted, and for each the least id that these links reach."""
@@ -38,13 +41,14 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """links: (a, b). Returns (doc, label): the least id reachable from each linked document.
 
-    Each partition first replaces its links by stars, so few links in one partition need no round but the last. Every round takes
+    Links are dealt to as many tasks as their number asks for, whatever the partitions of a shuffle, and each task first replaces
+    its links by stars. So links that fit one task need no round but the last. Every round takes
     the least label among a document and its neighbours, then the label of that label, so the distance covered doubles. A hub is
     met by partial aggregation, or split at run time as a skewed join; each round is written, which cuts the lineage. A round
     keeps to two joins, since each may leave a broadcast table with the driver, however few its rows.
     """
-    pairs = links.where(F.col("a") != F.col("b")).select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct()
-    edges = materialize(pairs.mapInArrow(_stars, "a long, b long"))
+    pairs = links.where(F.col("a") != F.col("b")).select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b"))
+    edges = materialize(pairs.repartition(1 + pairs.count() // TASK_LINKS).mapInArrow(_stars, "a long, b long"))
     labels = materialize(edges.groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("label")))
     while True:
         own = F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("label")

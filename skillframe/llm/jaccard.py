@@ -384,15 +384,13 @@ def link(base: DataFrame) -> DataFrame:
            .groupBy(F.col("doc").alias("a"), "b").agg(F.count("*").alias("hits")))
     # Among leaders with about as many hits the best known one comes first, so that a family agrees on its leader.
     followers = led.groupBy("b").agg(F.count("*").alias("followers"))
-    top = materialize(led.join(followers, "b").withColumn("most", F.max("hits").over(Window.partitionBy("a"))))
     best = Window.partitionBy("a").orderBy(F.desc(F.col("hits") * 2 >= F.col("most")), F.desc("followers"), F.desc("hits"), "b")
-    ranked = materialize(top.withColumn("k", F.row_number().over(best)).where(F.col("k") <= LEADERS).select("a", "b", "k"))
-    led_by = materialize(_compared(ranked.where(F.col("k") == 1).select("a", "b"), sets))
+    top = materialize(led.join(followers, "b").withColumn("most", F.max("hits").over(Window.partitionBy("a"))).withColumn("k", F.row_number().over(best)))
+    led_by = materialize(_compared(top.where(F.col("k") == 1).select("a", "b"), sets))
     links = _linked(led_by)
-    for k in range(2, LEADERS + 1):
-        # Only those that no leader has taken yet.
-        left = ranked.where(F.col("k") == k).select("a", "b").join(links.select("a").distinct(), "a", "left_anti")
-        links = materialize(links.unionByName(_linked(_compared(left, sets))))
+    # The other leaders at once, and only for those that the first has not taken: a step of its own for each costs more than its pairs.
+    left = top.where(F.col("k").between(2, LEADERS)).select("a", "b").join(links.select("a").distinct(), "a", "left_anti")
+    links = materialize(links.unionByName(_linked(_compared(left, sets))))
     label = components(links)
     first_family = _near(led_by)
     large = materialize(first_family.groupBy("family").count().where(F.col("count") >= FAMILY).select("family"))

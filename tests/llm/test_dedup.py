@@ -181,6 +181,28 @@ def test_components_of_few_links_need_one_round(spark, monkeypatch):
     assert len(made) == 3  # links, first labels, the round that finds nothing new
 
 
+def test_components_of_few_links_whatever_the_shuffle(spark, monkeypatch):
+    made = writes(monkeypatch, sys.modules[components.__module__])
+    draw = random.Random(3)
+    chain = draw.sample(range(200), 200)
+    monkeypatch.setitem(RUNTIME_SETTINGS, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = configure(spark).createDataFrame(list(zip(chain, chain[1:], strict=False)), "a long, b long").repartition(7, "a")
+        got = {r["doc"]: r["label"] for r in components(links).collect()}
+    finally:
+        monkeypatch.undo()
+        configure(spark)
+    assert got == dict.fromkeys(range(200), 0) and len(made) == 3
+
+
+def test_components_of_more_links_than_a_task_takes(spark, monkeypatch):
+    monkeypatch.setattr(sys.modules[components.__module__], "TASK_LINKS", 16)
+    chain = random.Random(4).sample(range(40), 40)
+    links = spark.createDataFrame(list(zip(chain, chain[1:], strict=False)) + [(300, 200)], "a long, b long")
+    got = {r["doc"]: r["label"] for r in components(links).collect()}
+    assert got == {**dict.fromkeys(range(40), 0), 200: 200, 300: 200}
+
+
 def test_components_across_partitions(spark, monkeypatch):
     draw = random.Random(2)
     links = [(i, i + 1) for i in range(50, 90)] + [(draw.randrange(100, 400), draw.randrange(100, 400)) for _ in range(120)] + [(-5, k) for k in range(500, 540)] + [(7, 7), (None, 8)]
@@ -205,6 +227,14 @@ def test_without_families_nothing_is_done_for_them(spark, docs, small_groups, ro
     assert got == expected_components(rows) and len(calls) == 2
 
 
+def test_later_leaders_are_tried_in_one_step(spark, docs, small_groups, rows, monkeypatch):
+    made = writes(monkeypatch, jaccard)
+    monkeypatch.setattr(jaccard, "FAMILY", 10**6)
+    got = {r["doc"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
+    # base, known, raw, index, chosen, leaders, compared with the first, links of all, large, named, open tokens, the rest
+    assert got == expected_components(rows) and len(made) == 12
+
+
 def test_kept_text_digest(spark):
     docs = spark.createDataFrame([(1, " a  b\tc ", "", "", 0, "", "")], DOCS)
     row = substrings.dedup(docs).select(F.sha2("text", 256).alias("h")).first()
