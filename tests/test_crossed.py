@@ -10,6 +10,7 @@ from pyspark.sql import Row
 from skillframe.models import mixed
 from skillframe.models.design import Term
 from skillframe.models.mixed import fit_crossed_logit
+from skillframe.queries.balance import crossed_balance
 
 GROUPS = ("a", "b")
 
@@ -58,6 +59,13 @@ def test_fit_of_many_rows_ends_where_its_equations_hold(fit):
         assert math.isclose(sum(u * u for u in effects[i].values()) / free, variance, rel_tol=1e-3)
 
 
+def test_balance_of_many_rows_has_no_gaps(many, fit):
+    gaps = crossed_balance(many, "win", Term("one"), GROUPS, fit).collect()
+    assert len(gaps) == 12 + 4 + 2
+    assert all(r["gap"] == 0 for r in gaps)
+    assert {r["n"] for r in gaps if r["grp"] == "(variance)"} == {84000}
+
+
 def test_joint_step_is_newtons_in_coefficients_and_both_shifts():
     rng, sizes, sigma, totals = np.random.default_rng(4), [5, 3], [0.4, 2.0], [0.7, -0.2]
     level, x = rng.integers(0, 3, 40), rng.normal(size=40) * (rng.random(40) < 0.8)
