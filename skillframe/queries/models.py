@@ -114,16 +114,18 @@ def glm_wide_balance(spark, sf):
     """A fit with an intercept per order, of orders with both outcomes: per term the number of rows, whether it has an
     estimate, and the sum of residuals times its column, which is 0 at the maximum. Orders and size classes add up to the
     same, so the last class has none."""
-    rows = returns(spark, sf, "l_orderkey").withColumn("l_orderkey", F.concat(F.lit("o"), "l_orderkey"))
+    rows = returns(spark, sf, "l_orderkey").select("l_orderkey", "returned", "one", "share", "size")
     both = rows.groupBy("l_orderkey").agg(F.min("returned").alias("low"), F.max("returned").alias("high")).where("low < high")
-    usable = materialize(equi_join(rows, both.drop("low", "high"), ["l_orderkey"], nullsafe=False))
+    usable = equi_join(rows, both.drop("low", "high"), ["l_orderkey"], nullsafe=False)
+    usable = materialize(usable.withColumn("l_orderkey", F.concat(F.lit("o"), "l_orderkey")))
     terms = [Term("one", "l_orderkey"), Term("share"), Term("one", "size")]
     coefs = materialize(fit_logit_wide(usable, "returned", terms, "l_orderkey"))
     own = coefs.where("term LIKE 'one:l_orderkey%'").select(F.expr("substr(term, 15)").alias("l_orderkey"), F.col("estimate").alias("b"))
     found = {r["term"]: r["estimate"] for r in coefs.where("term NOT LIKE 'one:l_orderkey%'").collect()}  # three terms
     share, large, small = (found.get(t) or 0.0 for t in ("share", "one:sizelarge", "one:sizesmall"))
     eta = f"b + {share!r}D * share + CASE size WHEN 'large' THEN {large!r}D ELSE {small!r}D END"
-    gaps = materialize(equi_join(usable, own, ["l_orderkey"]).withColumn("gap", F.expr(f"returned - 1 / (1 + exp(-({eta})))")))
+    gaps = equi_join(usable, own, ["l_orderkey"]).withColumn("gap", F.expr(f"returned - 1 / (1 + exp(-({eta})))"))
+    gaps = materialize(gaps.select("l_orderkey", "share", "size", "b", "gap"))
     parts = [("share", "share", "1 = 1"), ("one:sizelarge", "1", "size = 'large'"), ("one:sizesmall", "1", "size = 'small'")]
     narrow = [gaps.where(cells).agg(F.count("*").alias("n"), F.expr(f"round(sum({x} * gap), 2) + 0D AS score")).select(
         F.lit(term).alias("term"), "n", F.lit(found.get(term) is not None).alias("known"), "score") for term, x, cells in parts]
