@@ -88,7 +88,9 @@ def stat_model_balance(spark, sf):
 def stat_scores_balance(spark, sf):
     """Scores per season and subrole against sums over the long form of statistics and coefficients."""
     results, log, subroles = order_results(spark, sf), stat_log(spark, sf), _subroles(spark, sf)
-    fit = scores.fit_win_model(scores.team_frame(results, log, subroles))
+    # Written, so that the fit keeps no shuffle files of the frame's joins while the rest is worked out.
+    frame = scores.team_frame(results, log, subroles).select("win", "map_type", scores.FLAG, "year", *scores.MODEL_STATS)
+    fit = scores.fit_win_model(materialize(frame))
     # Written once for the scores and the sums they are held against.
     used = ["stage", "patch", "year", "subrole", "map_id", "map_type", "player", "player_team", scores.FLAG, *scores.MODEL_STATS]
     wide = materialize(scores.player_frame(results, log, subroles).select(*used))

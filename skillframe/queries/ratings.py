@@ -12,7 +12,7 @@ from ..models.glm import fit_logit
 from ..operators.joins import equi_join
 from ..operators.lookup import relabel_expr
 from ..plans import fixed, frames, ingest, lineups, roles, scores
-from ..session import materialize
+from ..session import materialize, materialize_last
 from . import table
 from .columns import TIME_TEXT
 
@@ -35,26 +35,35 @@ PRIORITY_STAGES = {
 }
 
 
-def line_players(spark, sf):
+def _lines(spark, sf):
+    """Line items with their supplier's team."""
     line = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_discount", "l_quantity"
     )
     suppliers = table(spark, sf, "supplier").select(
         "s_suppkey", F.when(F.col("s_nationkey") < 12, "home").otherwise("away").alias("team")
     )
-    joined = equi_join(line, suppliers, {"l_suppkey": "s_suppkey"}, nullsafe=False)
-    return joined.select(
+    return equi_join(line, suppliers, {"l_suppkey": "s_suppkey"}, nullsafe=False)
+
+
+def _players_of(lines, *more):
+    return lines.select(
         F.concat(F.lit("p"), "l_suppkey").alias("player"), F.col("l_orderkey").cast("string").alias("map_id"),
         F.when(F.col("l_linestatus") == "O", "CONTROL").otherwise("HYBRID").alias("map_type"), "team",
-        F.when(F.col("l_quantity") < 50, F.col("l_quantity")).alias("stat_amount"), "l_partkey", "l_discount",
+        F.when(F.col("l_quantity") < 50, F.col("l_quantity")).alias("stat_amount"), *more,
     )
 
 
+def line_players(spark, sf):
+    return _players_of(_lines(spark, sf), "l_partkey", "l_discount")
+
+
 def time_log(spark, sf):
     """Play time per hero: every line item is time on the hero of its part's brand."""
     brands = {f"Brand#{k}": hero for k, hero in BRAND_HEROES.items()}
     part = table(spark, sf, "part").select("p_partkey", relabel_expr(F.col("p_brand"), brands, None).alias("hero"))
-    log = equi_join(line_players(spark, sf), part, {"l_partkey": "p_partkey"}, nullsafe=False)
+    # Texts are made after the join, so that keys are shuffled and not they.
+    log = _players_of(equi_join(_lines(spark, sf).drop("l_discount"), part, {"l_partkey": "p_partkey"}, nullsafe=False), "hero")
     return log.select("player", "map_id", "map_type", "team", "hero", F.lit("Time Played").alias("stat_name"), "stat_amount")
 
 
@@ -125,7 +134,7 @@ def player_stats_subroles(spark, sf):
 
 
 def _subroles(spark, sf):
-    return materialize(player_stats_subroles(spark, sf))
+    return materialize_last(spark, lambda: player_stats_subroles(spark, sf))
 
 
 def team_model_frame(spark, sf):
